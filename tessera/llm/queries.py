@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pseudonyms, quality, secret_scan, simhash, toxicity
+from . import bpe, chat, decontaminate, pseudonyms, quality, secret_scan, simhash, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.vector_report(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
+    "op3_vector_graph": op3_vector_graph,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_chat": op6_chat,

@@ -184,7 +184,7 @@ def _arcs(rows: DataFrame, most: int) -> tuple[dict[str, float], dict[str, float
         share = a / (a + b)
         surprise = (a + b) * (share * math.log(share / rate) + ((1 - share) * math.log((1 - share) / (1 - rate)) if b else 0.0))
         weight = math.log((a + 0.5) / (whole["toxic"] + 1)) - math.log((b + 0.5) / (whole["clean"] + 1))
-        if row["shape"] and share > rate and weight >= 2.5 and surprise >= 13.0:
+        if row["shape"] and share > rate and weight >= 3.4 and surprise >= 13.0:
             (beginnings if row["shape"].endswith("*") else words)[row["shape"].rstrip("*")] = round(weight, 4)
     return words, beginnings
 
