@@ -282,12 +282,17 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
         bpe = encoder(path)
         for keys, coded in _coded(batches, bpe):
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array([np.frombuffer(x, "<i4") for x in coded], pa.list_(pa.int32())), pa.array([bpe.offsets(x) for x in coded], pa.list_(pa.int64()))], ["id", "ids", "ends"]
+                [keys, _id_lists(coded), pa.array([bpe.offsets(x) for x in coded], pa.list_(pa.int64()))], ["id", "ids", "ends"]
             )
 
     return _keyed(docs, id_col, text_col).mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, ids array<int>, ends array<bigint>").withColumnRenamed("id", id_col)
 
 
+def _id_lists(coded: list[bytes]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+
+
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id and ``bytes``: what the ids stand for.  Null ids give no bytes."""
     path = path or vocabulary_path()
@@ -301,25 +306,27 @@ def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id",
     return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {dict(encoded.dtypes)[id_col]}, bytes binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per document row: id, n_tokens, digests of the ids and of the bytes decoded from
-    them.  Null texts count as empty; repeated rows give repeated results."""
+    them, and, if asked for, the ids.  Null texts count as empty; repeated rows give repeated results."""
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for keys, coded in _coded(batches, bpe):
+            ids = [_id_lists(coded)] if with_ids else []
             yield pa.RecordBatch.from_arrays(
                 [
                     keys,
                     pa.array([len(x) // 4 for x in coded], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()),
                     pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in coded], pa.string()),
+                    *ids,
                 ],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 + len(ids)],
             )
 
-    return _keyed(docs, id_col, text_col).mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return _keyed(docs, id_col, text_col).mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids).withColumnRenamed("id", id_col)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

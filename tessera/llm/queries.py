@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pseudonyms, quality, secret_scan, simhash, toxicity, vector_graph
+from . import bpe, chat, decontaminate, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonym_report(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_chat": op6_chat,
     "op7_compression_quality": op7_compression_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
 }
