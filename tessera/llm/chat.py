@@ -52,12 +52,17 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> tuple[DataFrame, int]
     leaves = nodes.join(nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct(), ["tree", "node"], "left_anti").select("tree", "node")
     jumps, most = [], nodes.count()
     step, _ = staged(step, "jumps")
-    while not step.where("up is not null").isEmpty():
+    closed, still = step.where("up is null"), step.where("up is not null")
+    while not still.isEmpty():
         if 1 << len(jumps) > most:
             raise ValueError("replies in a circle")
-        jumps.append(step.where("up is not null").select("tree", "node", "up"))
-        above = step.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"))
-        step, _ = staged(step.join(above, ["tree", "up"], "left").select("tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "jumps")
+        jumps.append(still.select("tree", "node", "up"))
+        # only messages that haven't met their root go on
+        above = still.unionByName(closed).select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("total").alias("more"))
+        moved = still.join(above, ["tree", "up"]).select("tree", "node", F.col("next").alias("up"), (F.col("total") + F.col("more")).alias("total"))
+        moved, _ = staged(moved, "jumps")
+        closed, still = closed.unionByName(moved.where("up is null")), moved.where("up is not null")
+    step = closed
     best = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     chosen = leaves.join(step, ["tree", "node"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= branches)
     paths, _ = staged(chosen.select("tree", F.col("node").alias("leaf"), "rank", F.lit(0).cast("bigint").alias("steps"), "node"), "paths")
