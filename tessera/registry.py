@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from tessera.queries import batch, catalog, changes, pages, plans, review
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for module in (catalog, pages, plans, changes, batch, review):
+    QUERIES |= module.QUERIES
+    ORACLES |= module.ORACLES
