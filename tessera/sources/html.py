@@ -30,7 +30,9 @@ class _Events(HTMLParser):
         self.children: list[int] = [0]
 
     def _row(self, kind: str, tag: str | None, text: str | None, attrs: list | None) -> int:
-        named = {k: v if v is not None else "" for k, v in reversed(attrs or [])}
+        named: dict[str, str] = {}
+        for k, v in attrs or []:
+            named.setdefault(k, v if v is not None else "")
         pre = len(self.rows)
         parent = self.open[-1] if self.open else None
         self.rows.append([pre, pre, parent, len(self.open), self.children[-1], kind, tag, text, named.get("id"), named.get("class", "").split(), named.get("style"), named.get("href"), named])
