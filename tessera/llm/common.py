@@ -13,6 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 _own_dir: list[str] = []
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch in this session: by rows alone, ten thousand long texts
+    would be one batch.  A smaller bound that is set already stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that the cluster shares (``spark.checkpoint.dir``).
 

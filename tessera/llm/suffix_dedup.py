@@ -18,14 +18,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, mix, staged, text_buffer
+from .common import Powers, mix, small_batches, staged, text_buffer
 from .suffix_anchors import GRAM, text_regions
 
 LENGTH = 400
 #: regions that one transform is built of, about; anchors with more regions are hot
 COLLECTION = 1000
 HOT = 4000
-_RANK_BLOCK = 512
+_RANK_BLOCK = 256
 _BYTES = Powers(0xC2B2AE3D27D4EB4F)
 
 
@@ -66,15 +66,22 @@ def collection_bwt(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         same = (padded.reshape(blocks, -1)[block] == own[:, None]) & (np.arange(_RANK_BLOCK) < inner[:, None])
         smaller = np.cumsum(total) - total - total[0]
         place = m + smaller[own] + before[block, own] + same.sum(1)
-        kept = np.ones(n + len(rows), bool)
-        kept[place] = False
-        grown = np.empty(n + len(rows), bwt.dtype)
-        grown[kept] = bwt
-        grown[place] = symbol(rows, t + 1)
-        bwt = grown
+        bwt = _inserted(bwt, place, symbol(rows, t + 1).astype(bwt.dtype))
     return bwt, code
 
 
+def _inserted(old: np.ndarray, place: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """``old`` with the symbols at their new places, copied run by run."""
+    order = np.argsort(place)
+    cuts = (place[order] - np.arange(len(order))) * old.itemsize
+    raw, new, size = old.tobytes(), symbols[order].tobytes(), old.itemsize
+    parts = [b""] * (2 * len(order) + 1)
+    at = cuts.tolist()
+    parts[0::2] = [raw[a:b] for a, b in zip([0, *at], [*at, len(raw)], strict=True)]
+    parts[1::2] = [new[i : i + size] for i in range(0, len(new), size)]
+    return np.frombuffer(b"".join(parts), old.dtype)
+
+
 def suffix_order(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, offset) of all suffixes of at least ``least`` symbols, in lexicographic order."""
     bwt, _ = collection_bwt(texts)
@@ -119,6 +126,7 @@ def repeated_windows(texts: list[bytes], length: int = LENGTH) -> list[np.ndarra
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Two 64-bit keys tell rows apart: of the id and of the text.  Rows equal in both are equal
     in all that counts, so they may share what is found about them."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", F.xxhash64("id").alias("k1"), F.xxhash64("text").alias("k2"))
 
 
@@ -161,7 +169,7 @@ def _cut_out(needed: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("k1", "k2", "anchor", "start", "single", "bytes", "hashes")}
+            out: dict[str, list] = {k: [] for k in ("k1", "k2", "anchor", "start", "at", "single", "bytes", "hashes")}
             for k1, k2, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "packed", "wanted")), strict=True):
                 text = unpack.decompress(packed)
                 for w in wanted:
@@ -173,14 +181,14 @@ def _cut_out(needed: DataFrame, length: int) -> DataFrame:
                         total = np.zeros(len(data) + 1, np.uint64)
                         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
                         hashes = mix((total[length:] - total[:-length]) * down[: w["windows"]]).view(np.int64)
-                    for key, value in (("k1", k1), ("k2", k2), ("anchor", w["anchor"]), ("start", w["start"]), ("single", w["single"]), ("bytes", None if w["hot"] else part), ("hashes", hashes)):
+                    for key, value in (("k1", k1), ("k2", k2), ("anchor", w["anchor"]), ("start", w["start"]), ("at", w["at"]), ("single", w["single"]), ("bytes", None if w["hot"] else part), ("hashes", hashes)):
                         out[key].append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["anchor"], pa.int64()), pa.array(out["start"], pa.int64()), pa.array(out["single"], pa.bool_()), pa.array(out["bytes"], pa.binary()), pa.array(out["hashes"], pa.list_(pa.int64()))],
+                [pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["anchor"], pa.int64()), pa.array(out["start"], pa.int64()), pa.array(out["at"], pa.int32()), pa.array(out["single"], pa.bool_()), pa.array(out["bytes"], pa.binary()), pa.array(out["hashes"], pa.list_(pa.int64()))],
                 list(out),
             )
 
-    return needed.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, single boolean, bytes binary, hashes array<bigint>")
+    return needed.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, bytes binary, hashes array<bigint>")
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -188,31 +196,72 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common prefix, by bisection over slices."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _longest_shared(texts: list[bytes]) -> list[int]:
+    """For each text its longest common prefix with any other one."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    longest = [0] * len(texts)
+    for i, j in zip(order, order[1:]):
+        n = _common(texts[i], texts[j])
+        longest[i], longest[j] = max(longest[i], n), max(longest[j], n)
+    return longest
+
+
+def narrowed(regions: list[tuple[bytes, int]], length: int) -> list[tuple[int, int]]:
+    """For regions (bytes, place of the anchor) of one anchor: the range of window starts that can be
+    in another region.  A shared window agrees from the anchor to both its ends, so it lies
+    within the longest agreements to the left and to the right."""
+    right = _longest_shared([text[at:] for text, at in regions])
+    left = _longest_shared([text[:at][::-1] for text, at in regions])
+    return [(max(0, at - far), min(len(text) - length, at + near - length) + 1) for (text, at), far, near in zip(regions, left, right, strict=True)]
+
+
 def _compared(parts: DataFrame, length: int) -> DataFrame:
     """Spans of the single regions whose strings start in another region of their anchor, too."""
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
         held: list[tuple] = []
 
-        def solved() -> pa.RecordBatch:
+        def solved(rows: list[tuple]) -> pa.RecordBatch:
             out: list[tuple] = []
-            if len(held) > 1:
-                for row, flags in zip(held, repeated_windows([r[4] for r in held], length), strict=True):
+            if len(rows) > 1:
+                for row, flags in zip(rows, repeated_windows([r[4] for r in rows], length), strict=True):
                     if row[3]:
                         out += [(row[0], row[1], row[2] + a, row[2] + b - 1 + length) for a, b in _runs(flags)]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(4)], ["k1", "k2", "lo", "hi"])
 
+        def close(rows: list[tuple]) -> None:
+            for (k1, k2, start, at, single, text), (lo, hi) in zip(rows, narrowed([(r[5], r[3]) for r in rows], length), strict=True):
+                if lo < hi:
+                    held.append((k1, k2, start + lo, single, text[lo : hi - 1 + length]))
+
         last = None
         for batch in batches:
-            for anchor, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "start", "single", "bytes")), strict=True):
-                if anchor != last and len(held) >= COLLECTION:
-                    yield solved()
-                    held = []
+            for anchor, *row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "k1", "k2", "start", "at", "single", "bytes")), strict=True):
+                if anchor != last:
+                    close(group)
+                    group = []
+                    if len(held) >= COLLECTION:
+                        yield solved(held)
+                        held.clear()
                 last = anchor
-                held.append(tuple(row))
-        yield solved()
+                group.append(tuple(row))
+        close(group)
+        yield solved(held)
 
-    cold = parts.where(F.col("bytes").isNotNull()).select("anchor", "k1", "k2", "start", "single", "bytes")
+    cold = parts.where(F.col("bytes").isNotNull()).select("anchor", "k1", "k2", "start", "at", "single", "bytes")
     return cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(spans, "k1 bigint, k2 bigint, lo bigint, hi bigint")
 
 
@@ -225,7 +274,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes, _ = staged(anchors.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.min(one).alias("one")), "regions")
     shared = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     compared = classes.join(shared, "anchor").select("one.*", "anchor", (F.col("n") == 1).alias("single"), (F.col("kinds") > hot).alias("hot"))
-    wanted = compared.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "windows", "anchor", "single", "hot")).alias("wanted"))
+    wanted = compared.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "windows", "at", "anchor", "single", "hot")).alias("wanted"))
     texts = _packed(keyed)
     parts, _ = staged(_cut_out(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "packed", "wanted"), length), "parts")
     whole = anchors.join(classes.where("n > 1").select("anchor", "region"), ["anchor", "region"]).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("windows") - 1 + length).alias("hi"))
@@ -281,4 +330,4 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-__all__ = ["GRAM", "LENGTH", "collection_bwt", "remove_repeats", "repeat_report", "repeated_spans", "repeated_windows", "suffix_order"]
+__all__ = ["GRAM", "LENGTH", "collection_bwt", "narrowed", "remove_repeats", "repeat_report", "repeated_spans", "repeated_windows", "suffix_order"]
