@@ -19,13 +19,15 @@ from pyspark.sql.window import Window
 
 from .common import staged
 from .components import connected_components
+from .labelled import lowest_hashes
 
 LEAST_COSINE = 0.9
 #: vectors that centres are fitted on, at most; vertices of a unit, about; centres a vector goes to
-SAMPLE, UNIT, OVERLAP = 8192, 1200, 3
+SAMPLE, UNIT, OVERLAP = 8192, 1200, 5
 #: pruned degree, its slack, candidates per vertex, width of the search, slack of the range
 DEGREE, ALPHA, CANDIDATES, BEAM, SLACK = 20, 1.2, 48, 16, 0.05
-_QUERIES = 256
+#: most (query, neighbour) pairs that a step of the expansion may hold
+_PAIRS = 1_500_000
 
 
 def _usable(column: str) -> object:
@@ -81,8 +83,9 @@ def _in_range(x: np.ndarray, neighbours: list[np.ndarray], least: float, queries
     table = np.full((n, width), -1, np.int64)
     for i, own in enumerate(neighbours):
         table[i, : len(own)] = own
-    for lo in range(0, len(queries), _QUERIES):
-        block = queries[lo : lo + _QUERIES]
+    size = max(1, min(256, _PAIRS // (n * width)))
+    for lo in range(0, len(queries), size):
+        block = queries[lo : lo + size]
         q, rows = x[block], np.arange(len(block))
         seen = np.zeros((len(block), n), bool)
         beam = np.stack([np.full(len(block), medoid), block], 1)
@@ -146,8 +149,8 @@ def shard_members(vertices: DataFrame, unit: int = UNIT, overlap: int = OVERLAP,
 
     ``homes`` lists the vertex's (shard, block) pairs.  Centres are fitted on at most ``sample``
     vertices, chosen by a hash of their ids; every vertex is assigned."""
-    drawn = vertices.orderBy(F.xxhash64("id"), "id").select("embedding").limit(sample).toPandas()["embedding"]
     count = vertices.count()
+    drawn = lowest_hashes(vertices, "id", sample, count).select("embedding").toPandas()["embedding"]
     k = max(1, min(len(drawn), -(-count * overlap // (unit // 2))))
     centres = vertices.sparkSession.sparkContext.broadcast(_centres(_unit_rows(drawn), k))
     most = min(overlap, k)

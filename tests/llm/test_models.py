@@ -56,3 +56,13 @@ def test_composition_reads_as_its_parts_do():
 def test_logistic_of_one_class():
     assert fit_logistic(np.zeros((3, 1)), np.ones(3))[-1] > 0
     assert fit_logistic(np.zeros((0, 1)), np.ones(0))[-1] == 0
+
+
+def test_lowest_hashes_are_those_of_a_full_sort(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.labelled import lowest_hashes
+
+    ids = spark.range(100_000)
+    plain = [r["id"] for r in ids.orderBy(F.xxhash64("id"), "id").limit(50).collect()]
+    assert [r["id"] for r in lowest_hashes(ids, "id", 50, 100_000).collect()] == plain
