@@ -21,13 +21,13 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, small_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 _SHORT = 32
 _NONE = np.int32(2**31 - 1)
-_BLOCK = 400_000
+_BLOCK = 300_000
 
 # classes of codepoints; letters of contractions have their own
 LETTER, NUMBER, OTHER, QUOTE, SPACE, WHITE, EDGE, STMD, R_V, E, L = range(11)
@@ -330,6 +330,7 @@ def round_trip(docs: DataFrame, path: str | None = None, id_col: str = "doc_id",
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, blocks, mix, text_buffer
+from .common import Powers, blocks, mix, small_batches, text_buffer
 
 WINDOW = 10
 SLICE_WINDOWS = 400_000
-_BLOCK = 1 << 20
+_BLOCK = 1 << 19
 _BITS = 22
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -142,6 +142,7 @@ def _spans(docs: DataFrame, known, id_col: str, text_col: str) -> DataFrame:
                 ["id", "n_words", "spans", "items"],
             )
 
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         scan, f"id {kind}, n_words bigint, spans array<struct<start:bigint,end:bigint,words:bigint>>, items array<string>"
@@ -194,6 +195,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def _without_hits(docs: DataFrame, known, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_buffer
+from .common import small_batches, text_buffer
 from .labelled import fit_logistic, fold, sample
 
 FOLDS, HELD_OUT = 3, 1
@@ -101,6 +101,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every row, from the whole text alone; null texts count as empty."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, staged, text_buffer
+from .common import discard, small_batches, staged, text_buffer
 from .components import connected_components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(bytes(raw[a:b]), shingle) for a, b in zip(at, at[1:])], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
 

@@ -21,6 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .labelled import fit_logistic, fold, sample
 
 FOLDS, HELD_OUT = 5, 0
@@ -28,7 +29,7 @@ FOLDS, HELD_OUT = 5, 0
 SAMPLE = {1: 4000, 0: 12000}
 MOST_ARCS = 4000
 _PREFIXES = (4, 5, 6)
-_CACHED = 200_000
+_CACHED = 100_000
 
 OTHER, INSULT, TARGET, NEGATION, SPEECH, MODAL, HARM = range(7)
 WORDS = {
@@ -193,6 +194,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The grammar fitted on at most ``rows`` labelled documents of the training folds.
 
     Without labels of both kinds there are no arcs, and every text gets the same score."""
+    small_batches(docs.sparkSession)
     held = sample(docs, labels, label, fold(id_col, FOLDS) != HELD_OUT, rows or SAMPLE, id_col, text_col)
     grammar = Grammar(*_arcs(held, most_arcs))
 
@@ -218,11 +220,13 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("id"), _column(batch.column("text"), grammar)], ["id", "score"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, score double").withColumnRenamed("id", id_col)
 
 
 def keep_clean(docs: DataFrame, grammar: Grammar, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose texts score below the threshold, all columns as they were."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
