@@ -1,13 +1,15 @@
 """Benchmark decontamination: token windows of documents against a hash set of benchmark windows.
 
 The windows of the benchmark are gathered in slices of at most ``slice_windows`` and
-broadcast; a benchmark beyond one slice is scanned slice by slice and the hits are united,
-so what is broadcast has a fixed bound whatever the benchmark's size.  A rolling hash finds
-candidates, and every candidate is verified on the words themselves.
+broadcast; a benchmark beyond one slice is scanned slice by slice and the hits of each row
+are united, so what is broadcast has a fixed bound whatever the benchmark's size, and the
+result does not depend on where it is cut.  A rolling hash finds candidates, and every
+candidate is verified on the words themselves.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, blocks, mix, small_batches, text_buffer
+from .common import Powers, blocks, mix, small_batches, staged, text_buffer
 
 WINDOW = 10
 SLICE_WINDOWS = 400_000
@@ -115,8 +117,13 @@ def _slices(windows: DataFrame, most: int) -> Iterator[_Windows]:
     yield _Windows(part)
 
 
-def _spans(docs: DataFrame, known, id_col: str, text_col: str) -> DataFrame:
-    """Per row: number of words, hit spans as (start, end) byte offsets with their word counts, items."""
+_SPAN = pa.list_(pa.struct([(name, pa.int64()) for name in ("at", "start", "end", "words")]))
+_SPAN_SQL = "array<struct<at:bigint,start:bigint,end:bigint,words:bigint>>"
+
+
+def _spans(docs: DataFrame, known) -> DataFrame:
+    """Per (row, id, text): number of words, hit spans (``at`` the first word's place, byte
+    offsets, number of words), items."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = known.value
@@ -129,44 +136,67 @@ def _spans(docs: DataFrame, known, id_col: str, text_col: str) -> DataFrame:
                 own = offsets[lo : hi + 1]
                 starts, ends, owner, hit, found = windows.scan(_LOWER[data[own[0] : own[-1]]], own - own[0])
                 n_words[lo:hi] = np.bincount(owner, minlength=hi - lo)
+                first = np.searchsorted(owner, np.arange(hi - lo))
                 words = np.flatnonzero(hit)
                 cut = np.flatnonzero((np.diff(words) > 1) | (np.diff(owner[words]) > 0)) + 1 if len(words) else []
                 for run in np.split(words, cut) if len(words) else []:
                     d = int(owner[run[0]])
                     base = int(own[d] - own[0])
-                    spans[lo + d].append({"start": int(starts[run[0]]) - base, "end": int(ends[run[-1]]) - base, "words": len(run)})
+                    spans[lo + d].append({"at": int(run[0] - first[d]), "start": int(starts[run[0]]) - base, "end": int(ends[run[-1]]) - base, "words": len(run)})
                 for d, names in found.items():
                     items[lo + d] = sorted(names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n_words), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64())]))), pa.array(items, pa.list_(pa.string()))],
-                ["id", "n_words", "spans", "items"],
+                [batch.column("row"), batch.column("id"), pa.array(n_words), pa.array(spans, _SPAN), pa.array(items, pa.list_(pa.string()))],
+                ["row", "id", "n_words", "spans", "items"],
             )
 
     small_batches(docs.sparkSession)
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        scan, f"id {kind}, n_words bigint, spans array<struct<start:bigint,end:bigint,words:bigint>>, items array<string>"
-    )
+    kind = dict(docs.dtypes)["id"]
+    return docs.mapInArrow(scan, f"row bigint, id {kind}, n_words bigint, spans {_SPAN_SQL}, items array<string>")
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans sorted by their first words; those that share words or follow each other become one."""
+    for batch in batches:
+        k = batch.schema.get_field_index("spans")
+        flat = batch.column(k).flatten()
+        n = batch.column(k).value_lengths().to_numpy()
+        owner = np.repeat(np.arange(batch.num_rows, dtype=np.int64), n)
+        at, start, end, words = (flat.field(i).to_numpy() for i in range(4))
+        reach = np.maximum.accumulate((owner << 40) + at + words)
+        apart = np.ones(len(at), bool)
+        apart[1:] = ((owner[1:] << 40) + at[1:] > reach[:-1]) | (owner[1:] > owner[:-1])
+        new = np.flatnonzero(apart)
+        if len(new):
+            at, start, end, words, owner = at[new], start[new], np.maximum.reduceat(end, new), np.maximum.reduceat(at + words, new) - at[new], owner[new]
+        offsets = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
+        values = pa.StructArray.from_arrays([pa.array(x) for x in (at, start, end, words)], fields=list(_SPAN.value_type))
+        columns = batch.columns
+        columns[k] = pa.ListArray.from_arrays(pa.array(offsets), values)
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
     """One row per document row: id, n_words, hit spans (byte offsets in the text's UTF-8, end
     exclusive, with the number of words inside), n_hit and the matching item ids (as strings).
 
-    Null and empty texts have no words and no hits.  Repeated rows are scanned each on its
-    own; with a benchmark of several slices, rows are told apart by id, so ids must then be
-    unique.  Other columns are ignored.  An empty benchmark finds nothing.
+    Null and empty texts have no words and no hits.  Repeated rows, repeated ids and null ids
+    are rows of their own.  Spans of a row neither touch nor overlap.  Other columns are
+    ignored.  An empty benchmark finds nothing.
     """
     sc = docs.sparkSession.sparkContext
-    parts = [_spans(docs, sc.broadcast(part), id_col, text_col) for part in _slices(benchmark_windows(benchmark, n=n), slice_windows)]
-    if len(parts) == 1:
-        found = parts[0]
+    known = [sc.broadcast(part) for part in _slices(benchmark_windows(benchmark, n=n), slice_windows)]
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if len(known) == 1:
+        found = _spans(texts, known[0])
     else:
-        found = parts[0]
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        found = found.groupBy("id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return found.withColumnRenamed("id", id_col)
+        # written once, so that every slice's scan sees a row under the same number
+        texts, _ = staged(texts, "contamination")
+        found = functools.reduce(DataFrame.unionByName, [_spans(texts, part) for part in known])
+        found = found.groupBy("row").agg(F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        found = found.mapInArrow(_united, found.schema)
+    spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["words"].alias("words")))
+    return found.select(F.col("id").alias(id_col), "n_words", spans.alias("spans"), "items")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

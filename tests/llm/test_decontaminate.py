@@ -59,6 +59,26 @@ def test_slices_of_a_large_benchmark(spark):
     assert {r["doc_id"]: (r["n_items"], r["items_sha256"], r["contaminated"]) for r in got} == {r[0]: (r[3], r[4], r[5]) for r in brute(docs, bench)}
 
 
+def test_slices_give_the_rows_of_one_slice(spark):
+    docs, bench = corpus()
+    long = " ".join(f"w{i}" for i in range(11))
+    docs = [*docs, (600, f"see {long} there"), (600, f"{long}, {long}"), (600, "other words"), (None, long), (None, None), (None, f"no {long}")]
+    bench = [*bench, (103, long)]
+    df, b = frames(spark, docs, bench)
+    got = D.contamination_report(df, b, slice_windows=40).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, bench)
+    spans = lambda **options: sorted((str(r["doc_id"]), str(r["spans"])) for r in D.find_contamination(df, b, **options).collect())
+    assert spans(slice_windows=40) == spans()
+
+
+def test_neighbouring_windows_in_two_slices(spark):
+    long = " ".join(f"w{i}" for i in range(11))
+    docs, bench = [(1, f"see {long} there"), (1, f"{long}, {long}"), (None, long), (None, None)], [(1, long)]
+    got = D.contamination_report(*frames(spark, docs, bench), slice_windows=1).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs, bench)
+    assert sorted(r["n_hit"] for r in got) == [0, 11, 11, 22]
+
+
 def test_filter_keeps_clean_rows_and_columns(spark):
     docs, bench = corpus()
     df, b = frames(spark, docs, bench)
