@@ -2,7 +2,8 @@
 
 Values that pass their kind's validation are permuted inside their own format by a keyed
 Feistel network over mixed radices, so equal values stay equal across documents, different
-values stay different, and a new value is again valid (check digits, calendar days, octets).
+values stay different, and a new value is again valid (check digits, calendar days, octets,
+SSN ranges).  E-mail names of other scripts, or mostly of other letters than ASCII, become ASCII names by a keyed hash.
 Rows never leave their partition: no shuffle, whatever the skew.
 """
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 DEFAULT_KEY = "replace this key"
 ROUNDS = 10
 _DAY, _DAYS = "1900-01-01", 270  # days are permuted in blocks of 270 * 270
+SSN_RADICES = (898, 99, 9999)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: kind -> pattern; the first kind that matches at a place takes it
 PATTERNS = {
@@ -124,6 +126,25 @@ def _ip(word: Column, key: str) -> Column:
     return F.array_join(F.transform(feistel(octets, F.array_repeat(F.lit(256), 4), key, "ip"), lambda x: x.cast("string")), ".")
 
 
+def _ssn(word: Column, key: str) -> Column:
+    """Area (001-899 without 666), group and serial permuted together over all valid numbers."""
+    area, group, serial = (F.substring(word, at, n).cast("int") for at, n in ((1, 3), (5, 2), (8, 4)))
+    values = F.array(area - F.when(area > 666, 2).otherwise(1), group - 1, serial - 1)
+
+    def written(new: Column) -> Column:
+        first, *rest = (F.get(new, F.lit(i)) for i in range(3))
+        return F.format_string("%03d-%02d-%04d", first + F.when(first >= 665, 2).otherwise(1), *(x + 1 for x in rest))
+
+    return _bound(feistel(values, F.array(*map(F.lit, SSN_RADICES)), key, "ssn"), written)
+
+
+def _email_name(name: Column, key: str) -> Column:
+    """Mostly ASCII names keep their form, accented Latin letters in place; any other name becomes an ASCII one."""
+    size = lambda but: F.length(F.regexp_replace(name, but, ""))
+    formed = (size(r"[^A-Za-z0-9]") > size(r"[^\p{L}\p{N}]|[A-Za-z0-9]")) & (size(r"[^\p{L}\p{N}]|[\p{IsLatin}0-9]") == 0)
+    return F.when(formed, _permuted(name, key, "email")).otherwise(F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws(",", F.lit(key), F.lit("email-name"), name), 256), 1, 32)))
+
+
 def _day(word: Column) -> Column:
     return F.when(word.rlike("^[0-9]{4}-"), F.try_to_date(word, "yyyy-MM-dd")).when(F.contains(word, F.lit(".")), F.try_to_date(word, "dd.MM.yyyy")).otherwise(F.try_to_date(word, "MM/dd/yyyy"))
 
@@ -152,14 +173,11 @@ def _valid(kind: str, word: Column) -> Column:
 
 def _renamed(kind: str, word: Column, key: str) -> Column:
     if kind == "email":
-        return F.concat(_permuted(F.substring_index(word, "@", 1), key, "email"), F.lit("@"), F.substring_index(word, "@", -1))
+        return F.concat(_email_name(F.substring_index(word, "@", 1), key), F.lit("@"), F.substring_index(word, "@", -1))
     if kind == "phone":
         country = F.regexp_extract(word, r"^\+\d{1,3}(?=[ .(-])", 0)
         return F.concat(country, _permuted(F.substring(word, F.length(country) + 1, F.length(word)), key, "phone"))
-    if kind == "ssn":
-        front = F.regexp_extract(word, r"^\d{3}-\d{2}-", 0)
-        return F.concat(front, _permuted(F.substring(word, F.length(front) + 1, F.length(word)), key, "ssn"))
-    return {"iban": _iban, "date": _date, "ip": _ip, "card": _card}[kind](word, key)
+    return {"iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "card": _card}[kind](word, key)
 
 
 def _pieces(text: Column, which: list[str]) -> Column:

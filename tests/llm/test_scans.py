@@ -124,3 +124,27 @@ def test_pseudonyms_link_and_keep_the_rest(spark):
     assert got[2] == f"again {new} and 1984-02-30" and got[5] == f"a\x01b\x01\x02 {new} \x01"
     assert got[3] is None and got[4] == "" and got[None].startswith("x" * 30000) and "10.0.0.1" not in got[None]
     assert P.pseudonymise(docs).count() == 7 and P.pseudonymise(docs.limit(0)).collect() == []
+
+
+def test_ssns_are_permuted_whole_and_stay_valid(spark):
+    numbers = [(a, g, n) for a in (1, 2, 664, 665, 667, 668, 898, 899) for g in (1, 50, 99) for n in (1, 2, 5000, 9999)]
+    docs = spark.createDataFrame([(i, "%03d-%02d-%04d" % x) for i, x in enumerate(numbers)], "doc_id long, text string")
+    new = [r["text"] for r in P.pseudonymise(docs).orderBy("doc_id").collect()]
+    expected = []
+    for a, g, n in numbers:
+        x, y, z = plain_feistel([a - (2 if a > 666 else 1), g - 1, n - 1], [898, 99, 9999], "ssn")
+        expected.append("%03d-%02d-%04d" % (x + (2 if x >= 665 else 1), y + 1, z + 1))
+    assert new == expected and len(set(new)) == len(numbers)
+    assert all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}", x) for x in new)
+    assert sum(x[:6] == "%03d-%02d" % (a, g) for x, (a, g, _) in zip(new, numbers, strict=True)) < 3
+    assert P.pseudonymise(spark.createDataFrame([(1, "666-12-3456 000-12-3456 123-00-4567 123-45-0000")], "doc_id long, text string")).first()["text"] == "666-12-3456 000-12-3456 123-00-4567 123-45-0000"
+
+
+def test_email_names_beyond_ascii_are_replaced(spark):
+    names = ["иван", "иван.1984", "Ελένη", "王小明", "éàü", "Öğüş1", "ivan.петров", "٣٤٥x", "+", "иван"]
+    docs = spark.createDataFrame([(i, f"<{x}@mail.example.com>") for i, x in enumerate(names)], "doc_id long, text string")
+    got = [r for r in P.pseudonym_report(docs).orderBy("doc_id").collect()]
+    new = [re.fullmatch(r"<([\x21-\x7e]+)@mail\.example\.com>", r["text"])[1] for r in got]
+    assert all(r["n_email"] == 1 for r in got)
+    assert new[0] == new[-1] and len(set(new)) == len(set(names))
+    assert not any(x in y for x, y in zip(names, new, strict=True))
