@@ -47,8 +47,12 @@ def batch_summary(items: DataFrame, key: str = "product_key") -> DataFrame:
 
 
 def batch_report(items: DataFrame, key: str, group: str) -> DataFrame:
-    """(group, status, n, reasons): distinct reasons in order of the key."""
-    return items.groupBy(group, "status").agg(F.count("*").alias("n"), F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(key, "reason"))), lambda x: x["reason"])), ",").alias("reasons"))
+    """(group, status, n, reasons): distinct reasons in order of the key.
+
+    Items are counted by reason first, so what is collected for a group is its distinct reasons."""
+    by_reason = items.groupBy(group, "status", "reason").agg(F.count("*").alias("_n"), F.min(F.struct(key)).alias("_first"))
+    reasons = F.transform(F.array_sort(F.collect_list(F.struct("_first", "reason"))), lambda x: x["reason"])
+    return by_reason.groupBy(group, "status").agg(F.sum("_n").alias("n"), F.array_join(reasons, ",").alias("reasons"))
 
 
 def resume_pending(planned: DataFrame, finished: DataFrame, keys: list[str], fixed: list[str]) -> DataFrame:

@@ -73,6 +73,14 @@ def test_incomplete_evidence_counts_as_affected(spark):
     assert {r["product_key"]: r["reason"] for r in got.collect()} == {"p": "lookup changed", "q": "incomplete evidence", "t": "incomplete evidence"}
 
 
+def test_batch_report_collects_distinct_reasons_only(spark):
+    raw = [(k, "s", "failed", "b" if k % 3 else "a") for k in range(1, 301)] + [(None, "s", "failed", "z"), (1, "s", "failed", "0"), (9, "s", "passed", None), (8, "s", "passed", "q"), (5, None, "passed", None)]
+    report = batch.batch_report(table(spark, raw, "k long, supp string, status string, reason string"), "k", "supp")
+    assert {(r["supp"], r["status"]): (r["n"], r["reasons"]) for r in report.collect()} == {("s", "failed"): (302, "z,0,b,a"), ("s", "passed"): (2, "q"), (None, "passed"): (1, "")}
+    collects, counts = [line for line in report._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
+    assert "collect_list" in collects and "Aggregate [supp" in counts and "reason" in counts.split("]")[0]
+
+
 def test_batch_accounts(spark):
     stages = "input string, extraction string, usage string, l3a string, l3b string"
     items = table(spark, [("p", 1, *["passed"] * 5), ("p", 2, "passed", "blocked", "not_run", "blocked", "failed"), ("q", 1, *["passed"] * 4, "failed"), ("r", 1, *["passed"] * 4, "pending")], f"product_key string, item int, {stages}")
