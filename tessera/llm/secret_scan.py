@@ -8,6 +8,8 @@ operator has no shuffle, whatever the skew.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,30 +47,55 @@ def _located(chunks: Column, pattern: str, rank: int, keep=None) -> Column:
     return F.aggregate(chunks, zero, step, lambda state: state["spans"])
 
 
-def _xlogx(n: Column) -> Column:
-    return F.when(n <= 0, F.lit(0.0)).otherwise(n * F.log2(n.cast("double")))
+#: counts of characters, ``_PACKED`` of them in a 64-bit integer, ``_BITS`` bits each
+_PACKED, _BITS = 12, 5
+#: k log2 k in units of 2**-40, as integers: sums of what comes and goes never drift
+_UNIT = 1 << 40
+_XLOGX = [0] + [round(k * math.log2(k) * _UNIT) for k in range(1, WINDOW + 2)]
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _entropy_span(word: Column, alphabet: str, least: float) -> Column:
     """(first, last): ends of the first and the last window of high entropy; zeros if none.
 
-    The state holds the count of each character in the window and the sum of c log2 c; a
-    character that enters or leaves changes two terms of it.
+    The state holds the count of each character in the window, packed into a few integers, and
+    the sum of c log2 c; a character that enters or leaves changes one count and one term of
+    the sum, so a run costs the same for each of its characters however long it is.
     """
-    place = lambda i: F.position(F.substring(word, i, F.lit(1)), F.lit(alphabet))
-
-    def step(state: Column, i: Column) -> Column:
-        new = place(i)
-        old = F.when(i > WINDOW, place(i - WINDOW)).otherwise(F.lit(0))
-        came = F.element_at(state["n"], new)
-        went = F.when(old > 0, F.element_at(state["n"], F.greatest(old, F.lit(1))) + F.when(old == new, 1).otherwise(0)).otherwise(F.lit(0))
-        total = state["s"] + _xlogx(came + 1) - _xlogx(came) + _xlogx(went - 1) - _xlogx(went)
-        counts = F.transform(state["n"], lambda c, k: c + F.when(k + 1 == new, 1).otherwise(0) - F.when(k + 1 == old, 1).otherwise(0))
-        high = (i >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least - 1e-9)
-        return F.struct(counts.alias("n"), total.alias("s"), F.when(high & (state["first"] == 0), i).otherwise(state["first"]).alias("first"), F.when(high, i).otherwise(state["last"]).alias("last"))
-
-    zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("s"), F.lit(0).alias("first"), F.lit(0).alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), zero, step, lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
+    slots = -(-len(alphabet) // _PACKED)
+    gain = F.array(*(F.lit(b - a) for a, b in zip(_XLOGX, _XLOGX[1:])))
+    shifted = lambda name, value, by: F.call_function(name, value, by)
+
+    def moves(codes: Column) -> Column:
+        """What each step adds and takes away: the slot, the place in it, and that place's one."""
+
+        def one(code: Column, prefix: str) -> list[Column]:
+            by = code % _PACKED * _BITS
+            return [F.floor(code / _PACKED).cast("int").alias(f"{prefix}slot"), by.alias(f"{prefix}by"), F.when(code >= 0, shifted("shiftleft", F.lit(1).cast("bigint"), by)).otherwise(F.lit(0).cast("bigint")).alias(f"{prefix}one")]
+
+        both = F.transform(codes, lambda c, i: F.struct(c.alias("new"), F.when(i >= WINDOW, F.get(codes, i - WINDOW)).otherwise(F.lit(-1)).alias("old")))
+        return F.transform(both, lambda m: F.struct(*one(m["new"], "n"), *one(m["old"], "o"), (m["new"] == m["old"]).cast("int").alias("same")))
+
+    def high(state: Column) -> Column:
+        """Whether the window that ends at the state's place is a full one of high entropy."""
+        return (state["i"] >= WINDOW) & (F.lit(math.log2(WINDOW)) - state["s"] / F.lit(float(WINDOW * _UNIT)) >= least - 1e-9)
+
+    def seen(state: Column) -> list[Column]:
+        return [F.when(high(state) & (state["first"] == 0), state["i"]).otherwise(state["first"]).alias("first"), F.when(high(state), state["i"]).otherwise(state["last"]).alias("last")]
+
+    def step(state: Column, m: Column) -> Column:
+        count = lambda prefix: shifted("shiftright", F.get(state["n"], m[f"{prefix}slot"]), m[f"{prefix}by"]).bitwiseAND(F.lit((1 << _BITS) - 1).cast("bigint")).cast("int")
+        lost = F.when(m["oone"] > 0, F.get(gain, count("o") + m["same"] - 1)).otherwise(F.lit(0).cast("bigint"))
+        slot = lambda q: F.get(state["n"], F.lit(q)) + F.when(m["nslot"] == q, m["none"]).otherwise(F.lit(0).cast("bigint")) - F.when(m["oslot"] == q, m["oone"]).otherwise(F.lit(0).cast("bigint"))
+        return F.struct(F.array(*map(slot, range(slots))).alias("n"), (state["s"] + F.get(gain, count("n")) - lost).alias("s"), (state["i"] + 1).alias("i"), *seen(state))
+
+    zero = F.struct(F.array_repeat(F.lit(0).cast("bigint"), slots).alias("n"), F.lit(0).cast("bigint").alias("s"), F.lit(0).alias("i"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+    codes = F.transform(F.split(word, ""), lambda c: (F.position(c, F.lit(alphabet)) - 1).cast("int"))
+    return F.aggregate(_bound(codes, moves), zero, step, lambda state: F.struct(*seen(state)))
 
 
 def _within(runs: Column, spans_of) -> Column:
