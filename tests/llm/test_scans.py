@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -148,3 +150,75 @@ def test_email_names_beyond_ascii_are_replaced(spark):
     assert all(r["n_email"] == 1 for r in got)
     assert new[0] == new[-1] and len(set(new)) == len(set(names))
     assert not any(x in y for x, y in zip(names, new, strict=True))
+
+
+def plain_entropy_spans(word):
+    """First and last windows of high entropy in each stretch of a class, from counts made anew."""
+    found = set()
+    for pattern, _, least in S.CLASSES.values():
+        for m in re.finditer(f"{pattern}{{{S.WINDOW},}}", word):
+            high = [i for i in range(m.start(), m.end() - S.WINDOW + 1) if entropy(word[i : i + S.WINDOW]) >= least - 1e-9]
+            if high:
+                found.add((high[0], high[-1] + S.WINDOW))
+    return sorted(found)
+
+
+def test_incremental_counts_equal_counts_made_anew(spark):
+    rng = random.Random(5)
+    sets = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", "aZ9", "0a", "ABCDEF0123456789", "abcdefghijkl0123"]
+    words = ["7Q" + "".join("".join(rng.choice(s) for _ in range(rng.randint(1, 60))) for s in rng.choices(sets, k=rng.randint(1, 6))) for _ in range(150)]
+    words = [w for w in words if len(w) >= S.RUN_LENGTH and not base(w)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    got = {r["doc_id"]: sorted({(s["start"], s["end"]) for s in r["extra"]}) for r in S.find_secrets(docs).collect()}
+    assert len(words) > 60 and any(got.values())
+    assert got == {i: plain_entropy_spans(w) for i, w in enumerate(words)}
+
+
+def test_a_megabyte_without_a_break(spark):
+    rng = random.Random(6)
+    run = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    began = time.monotonic()
+    got = S.secret_report(spark.createDataFrame([(1, run)], "doc_id long, text string")).first()
+    assert got["spans"] == ",".join(f"entropy:{a}:{b}" for a, b in plain_entropy_spans(run))
+    assert time.monotonic() - began < 60
+
+
+def renamed(spark, *texts):
+    return [r["text"] for r in P.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+
+
+def test_dates_at_both_ends_of_the_calendar_stay_dates(spark):
+    ends = [("0001-01-01", 2000), ("9997-06-01", 900), ("1899-06-01", 400), ("0103-01-01", 400), ("9883-01-01", 600)]
+    for first, n in ends:
+        days = spark.range(n).selectExpr("id as doc_id", f"cast(date_add(date'{first}', cast(id as int)) as string) as text").where("length(text) = 10")
+        new = P.pseudonymise(days).cache()
+        assert new.where("text rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$' and try_to_date(text, 'yyyy-MM-dd') is not null").count() == days.count()
+        assert new.select("text").distinct().count() == days.count() > 300
+    assert renamed(spark, "9999-12-31", "31.12.9999", "12/31/9999", "0001-01-01")[0] != "9999-12-31"
+
+
+def test_numbers_that_are_no_cards_or_addresses_stay(spark):
+    stays = ["20240131123456", "1234567890123", "a..b@mail.example.com", ".a@mail.example.com", "a@mail.example.c", "a@-x.com", "a@x.123"]
+    assert renamed(spark, *stays) == stays
+    assert all(a != b for a, b in zip(renamed(spark, "4222222222222", "378282246310005", "3782 822463 10005", "6304000000000000000"), ["4222222222222", "378282246310005", "3782 822463 10005", "6304000000000000000"], strict=True))
+
+
+def test_a_number_behind_a_value_is_not_part_of_it(spark):
+    phone, card, phone_more, card_more = renamed(spark, "+1 (826) 555-4081", "4111111111111111", "+1 (826) 555-4081 190", "4111111111111111 12")
+    assert phone_more == f"{phone} 190" and card_more == f"{card} 12"
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "token 10.0.0.1", "p", "k", "f")], "doc_id long, text string, _parts string, _kinds string, _found string")
+    got = P.pseudonymise(docs).first()
+    assert (got["_parts"], got["_kinds"], got["_found"]) == ("p", "k", "f") and got["text"] != "token 10.0.0.1"
+    assert P.pseudonymise(docs).columns == docs.columns
+
+
+def test_the_key_comes_from_the_session(spark):
+    plain = renamed(spark, "10.0.0.1")
+    spark.conf.set(P.KEY_SETTING, "another key")
+    try:
+        assert renamed(spark, "10.0.0.1") != plain
+    finally:
+        spark.conf.unset(P.KEY_SETTING)
