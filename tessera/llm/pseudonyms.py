@@ -9,14 +9,21 @@ Rows never leave their partition: no shuffle, whatever the skew.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_KEY = "replace this key"
+#: the setting that holds the secret key; the default is public and serves tests alone
+KEY_SETTING, DEFAULT_KEY = "spark.tessera.pseudonyms.key", "replace this key"
 ROUNDS = 10
 _DAY, _DAYS = "1900-01-01", 270  # days are permuted in blocks of 270 * 270
+#: days from _DAY to the first and the last day with a year of four digits; the blocks that they cut
+#: short hold 7499 * 5 and 1327 * 32 days
+_FIRST, _LAST, _FIRST_RADICES, _LAST_RADICES = -693595, 2958463, (7499, 5), (1327, 32)
 SSN_RADICES = (898, 99, 9999)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_SIXTEEN = r"\d{4}(?:[ -]?\d{4}){3}"
 #: kind -> pattern; the first kind that matches at a place takes it
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
@@ -24,8 +31,8 @@ PATTERNS = {
     "date": r"(?<![\d.-])\d{4}-\d{2}-\d{2}(?![\d-])|(?<![\d./])\d{2}\.\d{2}\.\d{4}(?!\d)|(?<![\d./])\d{2}/\d{2}/\d{4}(?!\d)",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    "phone": r"(?<![\d+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
+    "card": rf"(?<!\d)(?:{_SIXTEEN}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}|\d{{13,19}}|\d(?:[ -]?\d){{12,18}})(?!\d)",
 }
 _MARK, _ESCAPED = "\x01", "\x01\x02"
 
@@ -150,18 +157,27 @@ def _day(word: Column) -> Column:
 
 
 def _date(word: Column, key: str) -> Column:
-    n = F.datediff(_day(word), F.lit(_DAY).cast("date"))
+    """Days are permuted within blocks of about two hundred years, so years stay of four digits."""
     size = _DAYS * _DAYS
-    block, inner = F.floor(n / size).cast("int"), F.pmod(n, F.lit(size))
     as_written = lambda d: F.when(word.rlike("^[0-9]{4}-"), F.date_format(d, "yyyy-MM-dd")).when(F.contains(word, F.lit(".")), F.date_format(d, "dd.MM.yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy"))
-    moved = lambda new: F.date_add(F.lit(_DAY).cast("date"), (block * size + F.get(new, F.lit(0)) * _DAYS + F.get(new, F.lit(1))).cast("int"))
-    new = feistel(F.array((inner / _DAYS).cast("int"), inner % _DAYS), F.array_repeat(F.lit(_DAYS), 2), key, "date")
-    return _bound(_bound(new, moved), as_written)
+
+    def moved(n: Column) -> Column:
+        first = F.greatest(F.floor(n / size).cast("int") * size, F.lit(_FIRST))
+        radices = [F.when(n < _FIRST - _FIRST % size + size, F.lit(low)).when(n >= _LAST - _LAST % size, F.lit(high)).otherwise(F.lit(_DAYS)) for low, high in zip(_FIRST_RADICES, _LAST_RADICES, strict=True)]
+        new = feistel(F.array(((n - first) / radices[1]).cast("int"), ((n - first) % radices[1]).cast("int")), F.array(*radices), key, "date")
+        return _bound(new, lambda d: F.date_add(F.lit(_DAY).cast("date"), (first + F.get(d, F.lit(0)) * radices[1] + F.get(d, F.lit(1))).cast("int")))
+
+    return _bound(_bound(F.datediff(_day(word), F.lit(_DAY).cast("date")), moved), as_written)
 
 
 def _valid(kind: str, word: Column) -> Column:
     if kind == "iban":
         return _mod97(word) == 1
+    if kind == "email":
+        return ~word.rlike(r"^\.|\.\.|\.@|@-|-\.|\.-") & word.rlike(r"\.[A-Za-z][A-Za-z0-9-]*[A-Za-z0-9]$")
+    if kind == "card":
+        digits = F.regexp_replace(word, "[^0-9]", "")
+        return word.rlike(f"^{_SIXTEEN}$") | (_luhn(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.substring(digits, -1, 1).cast("int"))
     if kind == "date":
         return _day(word).isNotNull() & ~word.startswith("0000")
     if kind == "ssn":
@@ -196,35 +212,40 @@ def _kind(word: Column, which: list[str]) -> Column:
     return looks
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, kinds: tuple[str, ...] = tuple(PATTERNS), text_col: str = "text", found_col: str | None = None) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None, kinds: tuple[str, ...] = tuple(PATTERNS), text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """``docs`` with the values in ``text_col`` replaced; all other columns and rows as they were.
 
+    Sixteen digits in a card's layout count as a card whatever their check digit, which keeps its
+    distance from the right one; other lengths and layouts must pass the Luhn check.
+    Without ``key`` the session's setting ``spark.tessera.pseudonyms.key`` counts.
     ``found_col`` adds the kinds found, in order, as array<string>.  Null texts stay null,
     empty ones empty; values that fail their validation stay.  Equal values get equal
     pseudonyms in every row and every run with the same key; a column of that name in
     ``docs`` is replaced.
     """
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
     which = [k for k in PATTERNS if k in kinds]
     text = F.col(f"`{text_col}`")
+    parts_col, kinds_col = (f"_{name}_{uuid.uuid4().hex}" for name in ("parts", "kinds"))
     parts = F.when(text.rlike("[0-9@]"), _pieces(text, which)).otherwise(F.array(text))
-    with_parts = docs.withColumn("_parts", parts)
-    named = with_parts.withColumn("_kinds", F.transform("_parts", lambda p, i: F.when(i % 2 == 1, _kind(p, which))))
+    with_parts = docs.withColumn(parts_col, parts)
+    named = with_parts.withColumn(kinds_col, F.transform(parts_col, lambda p, i: F.when(i % 2 == 1, _kind(p, which))))
 
     def replaced(p: Column, i: Column) -> Column:
-        kind = F.get("_kinds", i)
+        kind = F.get(kinds_col, i)
         out = F.when(kind.isNull(), p)
         for k in which:
             out = out.when(kind == k, _renamed(k, p, key))
         return out
 
-    new = F.replace(F.array_join(F.transform("_parts", replaced), ""), F.lit(_ESCAPED), F.lit(_MARK))
-    out = named.withColumn(text_col, F.when(F.size("_parts") > 1, new).otherwise(text))
+    new = F.replace(F.array_join(F.transform(parts_col, replaced), ""), F.lit(_ESCAPED), F.lit(_MARK))
+    out = named.withColumn(text_col, F.when(F.size(parts_col) > 1, new).otherwise(text))
     if found_col:
-        out = out.withColumn(found_col, F.coalesce(F.filter("_kinds", lambda k: k.isNotNull()), F.array().cast("array<string>")))
-    return out.drop("_parts", "_kinds")
+        out = out.withColumn(found_col, F.coalesce(F.filter(kinds_col, lambda k: k.isNotNull()), F.array().cast("array<string>")))
+    return out.drop(parts_col, kinds_col)
 
 
-def pseudonym_report(docs: DataFrame, key: str = DEFAULT_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudonym_report(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, the new text and the number of replaced values of each kind."""
     found = pseudonymise(docs.select(id_col, text_col), key, text_col=text_col, found_col="_found")
     count = lambda kind: F.size(F.filter("_found", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
