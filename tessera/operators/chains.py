@@ -32,6 +32,11 @@ def chain_depths(records: DataFrame, most_doublings: int = 40) -> DataFrame:
     return step.select("record", "root", "depth")
 
 
+def chain_circles(records: DataFrame) -> DataFrame:
+    """(record, error): records that follow each other in a circle, or follow one that does."""
+    return chain_depths(records).where("root is null").select("record", F.lit("circle").alias("error"))
+
+
 def latest_record(depths: DataFrame) -> DataFrame:
     """(root, latest, length): the tail of each chain."""
     return depths.where("root is not null").groupBy("root").agg(F.max_by("record", F.struct("depth", "record")).alias("latest"), (F.max("depth") + 1).alias("length"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.queries import batch, catalog, changes, pages, plans, review
+from tessera.queries import batch, catalog, changes, filtered, pages, plans, review, runs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for module in (catalog, pages, plans, changes, batch, review):
+for module in (catalog, pages, plans, filtered, changes, batch, review, runs):
     QUERIES |= module.QUERIES
     ORACLES |= module.ORACLES
