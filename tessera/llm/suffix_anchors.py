@@ -15,7 +15,7 @@ from .common import Powers, blocks, mix
 GRAM = 64
 _POSITION_BITS = 24
 _BLOCK = 1 << 20
-_BYTES = Powers(0x9E3779B97F4A7C15)
+_BYTES, _AGAIN = Powers(0x9E3779B97F4A7C15), Powers(0xA0761D6478BD642F)
 
 
 def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
@@ -32,12 +32,18 @@ def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
 
 def regions(data: np.ndarray, length: int, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Regions of one text or of a part of it: start and number of windows, place of the anchor in
-    the region, hashes of anchor and region."""
+    the region, hashes of anchor and region (``region`` and ``more``, of independent bases)."""
     if len(data) < length:
-        return {k: np.zeros(0, np.int64) for k in ("start", "windows", "at", "anchor", "region")}
-    up, down = _BYTES.upto(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+        return {k: np.zeros(0, np.int64) for k in ("start", "windows", "at", "anchor", "region", "more")}
+    symbols = data.astype(np.uint64) + np.uint64(1)
+
+    def prefix(powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+        up, down = powers.upto(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(symbols * up[:-1], out=total[1:])
+        return total, down
+
+    total, down = prefix(_BYTES)
     grams = mix((total[gram:] - total[:-gram]) * down[: len(data) - gram + 1])
     mask = np.uint64((1 << _POSITION_BITS) - 1)
     keys = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
@@ -48,8 +54,10 @@ def regions(data: np.ndarray, length: int, gram: int = GRAM) -> dict[str, np.nda
     anchor = place[start]
     stop = end - 1 + length
     whole = mix((total[stop] - total[start]) * down[start])
+    again, back = prefix(_AGAIN)
+    more = mix((again[stop] - again[start]) * back[start])
     shape = mix(((end - start) * 100_003 + anchor - start).astype(np.uint64))
-    return {"start": start, "windows": end - start, "at": anchor - start, "anchor": grams[anchor].view(np.int64), "region": (mix(whole) ^ shape).view(np.int64)}
+    return {"start": start, "windows": end - start, "at": anchor - start, "anchor": grams[anchor].view(np.int64), "region": (mix(whole) ^ shape).view(np.int64), "more": (mix(more) ^ shape).view(np.int64)}
 
 
 def text_regions(data: np.ndarray, offsets: np.ndarray, length: int):

@@ -1,16 +1,18 @@
 """Exact removal of long repeated strings.
 
 Anchors (see ``suffix_anchors``) cut every text into regions of windows.  Regions that are the
-same from end to end are counted by their hashes.  Regions that share an anchor but differ are
+same from end to end are counted by their hashes (192 bits).  Regions that share an anchor but differ are
 compared by their bytes: their collection's Burrows-Wheeler transform is built column by column,
 one symbol of every region each round, and neighbours in its suffix order show which windows
-share their whole length.  Anchors that very many different regions share would make one large
-collection; their windows are counted by hashes in a grouped aggregation instead.
+share their whole length.  An anchor that more different regions share than one collection holds
+would put a hot passage into one task; ranges of the windows of its regions are counted, by anchor, distance and hash, in
+grouped aggregations that add up before their shuffles instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +20,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, mix, small_batches, staged, text_buffer
+from .common import small_batches, staged, text_buffer
 from .suffix_anchors import GRAM, text_regions
 
 LENGTH = 400
 #: regions that one transform is built of, about; anchors with more regions are hot
 COLLECTION = 1000
-HOT = 4000
-_RANK_BLOCK = 256
-_BYTES = Powers(0xC2B2AE3D27D4EB4F)
+HOT = 1000
+_RANK_BLOCK = 128
+#: neighbouring windows that are counted together for hot anchors, round by round
+_GRIDS = (49, 7, 1)
 
 
 def collection_bwt(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,33 +53,44 @@ def collection_bwt(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     rows = np.arange(m)
     bwt, place = symbol(rows, 0).astype(np.uint8 if sigma <= 256 else np.uint16), np.arange(m)
+    edge, counts = _counted(bwt, sigma)
     for t in range(int(lengths.max(initial=0))):
         going = lengths[rows] > t
         rows, place = rows[going], place[going]
         own = bwt[place]
-        n = len(bwt)
-        blocks = -(-n // _RANK_BLOCK)
-        padded = np.zeros(blocks * _RANK_BLOCK, bwt.dtype)
-        padded[:n] = bwt
-        counts = np.bincount((padded.reshape(blocks, -1) + (np.arange(blocks) * sigma)[:, None]).ravel(), minlength=blocks * sigma).reshape(blocks, sigma)
-        counts[-1, 0] -= len(padded) - n
-        total = counts.sum(0)
-        before = np.cumsum(counts, 0) - counts
-        block, inner = place // _RANK_BLOCK, place % _RANK_BLOCK
-        same = (padded.reshape(blocks, -1)[block] == own[:, None]) & (np.arange(_RANK_BLOCK) < inner[:, None])
-        smaller = np.cumsum(total) - total - total[0]
-        place = m + smaller[own] + before[block, own] + same.sum(1)
-        bwt = _inserted(bwt, place, symbol(rows, t + 1).astype(bwt.dtype))
+        block = np.searchsorted(edge, place, "right") - 1
+        inner, width = place - edge[block], int(np.diff(edge).max())
+        padded = np.concatenate([bwt, np.zeros(width, bwt.dtype)])
+        same = (np.lib.stride_tricks.sliding_window_view(padded, width)[edge[block]] == own[:, None]) & (np.arange(width) < inner[:, None])
+        upto = np.cumsum(counts, 0)
+        smaller = np.cumsum(upto[-1]) - upto[-1] - upto[-1, 0]
+        place = m + smaller[own] + upto[block, own] - counts[block, own] + same.sum(1)
+        new = symbol(rows, t + 1).astype(bwt.dtype)
+        order = np.argsort(place)
+        cuts = place[order] - np.arange(len(order))
+        bwt = _inserted(bwt, cuts, new[order])
+        # blocks grow where symbols come in; they are cut anew before one gets long
+        grown = np.clip(np.searchsorted(edge, cuts, "right") - 1, 0, len(counts) - 1)
+        np.add.at(counts, (grown, new[order]), 1)
+        edge = edge + np.concatenate([[0], np.cumsum(np.bincount(grown, minlength=len(counts)))])
+        if np.diff(edge).max() > 2 * _RANK_BLOCK:
+            edge, counts = _counted(bwt, sigma)
     return bwt, code
 
 
-def _inserted(old: np.ndarray, place: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """``old`` with the symbols at their new places, copied run by run."""
-    order = np.argsort(place)
-    cuts = (place[order] - np.arange(len(order))) * old.itemsize
-    raw, new, size = old.tobytes(), symbols[order].tobytes(), old.itemsize
-    parts = [b""] * (2 * len(order) + 1)
-    at = cuts.tolist()
+def _counted(bwt: np.ndarray, sigma: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of blocks of equal size, and how often each symbol stands in each block."""
+    n = len(bwt)
+    blocks = max(1, -(-n // _RANK_BLOCK))
+    counts = np.bincount(np.arange(n) // _RANK_BLOCK * sigma + bwt, minlength=blocks * sigma).reshape(blocks, sigma)
+    return np.append(np.arange(blocks) * _RANK_BLOCK, n), counts
+
+
+def _inserted(old: np.ndarray, cuts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """``old`` with the symbols put in before the places ``cuts``, copied run by run."""
+    at = (cuts * old.itemsize).tolist()
+    raw, new, size = old.tobytes(), symbols.tobytes(), old.itemsize
+    parts = [b""] * (2 * len(at) + 1)
     parts[0::2] = [raw[a:b] for a, b in zip([0, *at], [*at, len(raw)], strict=True)]
     parts[1::2] = [new[i : i + size] for i in range(0, len(new), size)]
     return np.frombuffer(b"".join(parts), old.dtype)
@@ -130,7 +144,13 @@ def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", F.xxhash64("id").alias("k1"), F.xxhash64("text").alias("k2"))
 
 
+_KEY = ("anchor", "region", "more")
+
+
 def _anchors(keyed: DataFrame, length: int) -> DataFrame:
+    """One row for each different region of a text, with all its places there: a text that repeats
+    itself without end does not send a row for every turn."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
@@ -141,11 +161,18 @@ def _anchors(keyed: DataFrame, length: int) -> DataFrame:
             if not parts:
                 continue
             row = np.concatenate(rows)
-            columns = [batch.column("k1").take(pa.array(row)), batch.column("k2").take(pa.array(row))]
-            columns += [pa.array(np.concatenate([p[k] for p in parts]).astype(kind)) for k, kind in (("start", np.int64), ("windows", np.int32), ("at", np.int32), ("anchor", np.int64), ("region", np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "start", "windows", "at", "anchor", "region"])
+            whole = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+            order = np.lexsort((whole["start"], *(whole[k] for k in _KEY), row))
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (row, *(whole[k] for k in _KEY))], 0)
+            first = order[np.flatnonzero(new)]
+            ends = np.append(np.flatnonzero(new), len(order)).astype(np.int32)
+            starts = pa.ListArray.from_arrays(pa.array(ends), pa.array(whole["start"][order].astype(np.int64)))
+            columns = [batch.column("k1").take(pa.array(row[first])), batch.column("k2").take(pa.array(row[first])), starts]
+            columns += [pa.array(whole[k][first].astype(kind)) for k, kind in (("windows", np.int32), ("at", np.int32), *((k, np.int64) for k in _KEY))]
+            yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "starts", "windows", "at", *_KEY])
 
-    return keyed.select("k1", "k2", "text").mapInArrow(run, "k1 bigint, k2 bigint, start bigint, windows int, at int, anchor bigint, region bigint")
+    return keyed.select("k1", "k2", "text").mapInArrow(run, "k1 bigint, k2 bigint, starts array<bigint>, windows int, at int, anchor bigint, region bigint, more bigint")
 
 
 def _packed(keyed: DataFrame, *columns: str) -> DataFrame:
@@ -163,32 +190,72 @@ def _packed(keyed: DataFrame, *columns: str) -> DataFrame:
     return keyed.select(*columns, "k1", "k2", "text").mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in (*columns, "k1", "k2")) + ", packed binary")
 
 
+_PART = "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, hot boolean, bytes binary"
+
+
 def _cut_out(needed: DataFrame, length: int) -> DataFrame:
-    """Bytes of the needed regions, or hashes of their windows if their anchor is hot."""
+    """Bytes of the needed regions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("k1", "k2", "anchor", "start", "at", "single", "bytes", "hashes")}
+            out: list[tuple] = []
             for k1, k2, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "packed", "wanted")), strict=True):
                 text = unpack.decompress(packed)
-                for w in wanted:
-                    part = text[w["start"] : w["start"] + w["windows"] + length - 1]
-                    hashes = None
-                    if w["hot"]:
-                        data = np.frombuffer(part, np.uint8)
-                        up, down = _BYTES.upto(len(data) + 1)
-                        total = np.zeros(len(data) + 1, np.uint64)
-                        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-                        hashes = mix((total[length:] - total[:-length]) * down[: w["windows"]]).view(np.int64)
-                    for key, value in (("k1", k1), ("k2", k2), ("anchor", w["anchor"]), ("start", w["start"]), ("at", w["at"]), ("single", w["single"]), ("bytes", None if w["hot"] else part), ("hashes", hashes)):
-                        out[key].append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["k1"], pa.int64()), pa.array(out["k2"], pa.int64()), pa.array(out["anchor"], pa.int64()), pa.array(out["start"], pa.int64()), pa.array(out["at"], pa.int32()), pa.array(out["single"], pa.bool_()), pa.array(out["bytes"], pa.binary()), pa.array(out["hashes"], pa.list_(pa.int64()))],
-                list(out),
-            )
-
-    return needed.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, bytes binary, hashes array<bigint>")
+                out += [(k1, k2, w["anchor"], w["start"], w["at"], w["single"], w["hot"], text[w["start"] : w["start"] + w["windows"] + length - 1]) for w in wanted]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["k1", "k2", "anchor", "start", "at", "single", "hot", "bytes"])
+
+    return needed.mapInArrow(run, _PART)
+
+
+def _ranges(rows: DataFrame, grid: int, length: int) -> DataFrame:
+    """Each region's windows in ranges of ``grid`` neighbouring distances to the anchor.
+
+    ``low`` and ``high`` bound the distances that the region has of the range, ``whole`` is the
+    hash of all bytes of these windows, ``core`` that of the bytes that all windows of the
+    range share, had by this region or not: regions of different cores share no window there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for k1, k2, anchor, start, at, single, low, high, text in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "anchor", "start", "at", "single", "low", "high", "bytes")), strict=True):
+                for q in range(low // grid, high // grid + 1):
+                    lo, hi = max(low, q * grid), min(high, q * grid + grid - 1)
+                    core = text[at - q * grid : at - (q * grid + grid - 1) + length]
+                    digest = blake2b(text[at - hi : at - lo + length], digest_size=16).digest() + blake2b(core, digest_size=16).digest()
+                    out.append((k1, k2, anchor, start, at, single, lo, hi, q, digest[:16], digest[16:]))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["k1", "k2", "anchor", "start", "at", "single", "low", "high", "q", "whole", "core"])
+
+    return rows.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, low int, high int, q int, whole binary, core binary")
+
+
+def _hot_spans(parts: DataFrame, length: int) -> DataFrame | None:
+    """Spans of the single regions of hot anchors: ranges of their windows are counted, in sizes that
+    shrink to one window.  A range that stands there twice is settled, and so is one whose core
+    no other has; only what is left is cut finer, one of each kind.  Counts add up before their
+    shuffle, so no anchor meets in one task, however many regions share it."""
+    hot = parts.where("hot")
+    rows = hot.select("k1", "k2", "anchor", "start", "at", "single", F.greatest(F.lit(0), F.col("at") + length - F.octet_length("bytes")).alias("low"), F.col("at").alias("high"), "bytes")
+    if rows.isEmpty():
+        return None
+    spans = None
+    for grid in _GRIDS:
+        ranges, _ = staged(_ranges(rows, grid, length), "ranges")
+        key = ["anchor", "q", "low", "high", "whole"]
+        one = F.min(F.struct("k1", "k2", "start", "at", "single", "core")).alias("one")
+        kinds, _ = staged(ranges.groupBy(*key).agg(F.count("*").alias("n"), one), "kinds")
+        found = ranges.where("single").join(kinds.where("n > 1").select(*key), key).select("k1", "k2", (F.col("start") + F.col("at") - F.col("high")).alias("lo"), (F.col("start") + F.col("at") - F.col("low") + length).alias("hi"))
+        spans = found if spans is None else spans.unionByName(found)
+        if grid > 1:
+            met = kinds.groupBy("anchor", "q", "one.core").agg((F.count("*") > 1).alias("met")).where("met")
+            left = kinds.select("anchor", "q", "low", "high", (F.col("n") == 1).alias("once"), "one.*").join(met, ["anchor", "q", "core"], "left_semi")
+            # a kind that stands there twice goes on twice in one: its windows are found whoever else has them
+            left = left.select("k1", "k2", "anchor", "start", "at", (F.col("single") & F.col("once")).alias("single"), "low", "high")
+            rows, _ = staged(left.join(hot.select("k1", "k2", "anchor", "start", "bytes"), ["k1", "k2", "anchor", "start"]), "left")
+    return spans
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -237,9 +304,11 @@ def _compared(parts: DataFrame, length: int) -> DataFrame:
         def solved(rows: list[tuple]) -> pa.RecordBatch:
             out: list[tuple] = []
             if len(rows) > 1:
-                for row, flags in zip(rows, repeated_windows([r[4] for r in rows], length), strict=True):
-                    if row[3]:
-                        out += [(row[0], row[1], row[2] + a, row[2] + b - 1 + length) for a, b in _runs(flags)]
+                # strings that stand there twice are repeated throughout; the transform gets one of them
+                number = {text: i for i, text in enumerate(dict.fromkeys(r[4] for r in rows))}
+                times = np.bincount([number[r[4]] for r in rows])
+                runs = [_runs(flags | (n > 1)) for flags, n in zip(repeated_windows(list(number), length), times.tolist(), strict=True)]
+                out = [(k1, k2, start + a, start + b - 1 + length) for k1, k2, start, single, text in rows if single for a, b in runs[number[text]]]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(4)], ["k1", "k2", "lo", "hi"])
 
         def close(rows: list[tuple]) -> None:
@@ -261,7 +330,7 @@ def _compared(parts: DataFrame, length: int) -> DataFrame:
         close(group)
         yield solved(held)
 
-    cold = parts.where(F.col("bytes").isNotNull()).select("anchor", "k1", "k2", "start", "at", "single", "bytes")
+    cold = parts.where("not hot").select("anchor", "k1", "k2", "start", "at", "single", "bytes")
     return cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(spans, "k1 bigint, k2 bigint, lo bigint, hi bigint")
 
 
@@ -270,18 +339,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     exactly the bytes of strings of ``length`` bytes that start at two places or more."""
     keyed = _keys(docs, id_col, text_col)
     anchors, _ = staged(_anchors(keyed, length), "anchors")
-    one = F.struct("k1", "k2", "start", "windows", "at").alias("one")
-    classes, _ = staged(anchors.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.min(one).alias("one")), "regions")
+    one = F.struct("k1", "k2", F.col("starts")[0].alias("start"), "windows", "at").alias("one")
+    classes, _ = staged(anchors.groupBy(*_KEY).agg(F.sum(F.size("starts")).alias("n"), F.min(one).alias("one")), "regions")
     shared = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     compared = classes.join(shared, "anchor").select("one.*", "anchor", (F.col("n") == 1).alias("single"), (F.col("kinds") > hot).alias("hot"))
     wanted = compared.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "windows", "at", "anchor", "single", "hot")).alias("wanted"))
     texts = _packed(keyed)
     parts, _ = staged(_cut_out(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "packed", "wanted"), length), "parts")
-    whole = anchors.join(classes.where("n > 1").select("anchor", "region"), ["anchor", "region"]).select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("windows") - 1 + length).alias("hi"))
-    single = parts.where(F.col("hashes").isNotNull()).select("k1", "k2", "start", "single", F.posexplode("hashes").alias("i", "hash"))
-    twice = single.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    by_hash = single.where("single").join(twice, "hash").select("k1", "k2", (F.col("start") + F.col("i")).alias("lo"), (F.col("start") + F.col("i") + length).alias("hi"))
-    spans = whole.unionByName(_compared(parts, length)).unionByName(by_hash)
+    # equal regions have equal anchors, so their own hashes are key enough
+    repeated = anchors.select("k1", "k2", "starts", "windows", *_KEY[1:]).join(classes.where("n > 1").select(*_KEY[1:]), [*_KEY[1:]]).select("k1", "k2", F.explode("starts").alias("lo"), "windows")
+    whole = repeated.select("k1", "k2", "lo", (F.col("lo") + F.col("windows") - 1 + length).alias("hi"))
+    spans = whole.unionByName(_compared(parts, length))
+    by_range = _hot_spans(parts, length)
+    if by_range is not None:
+        spans = spans.unionByName(by_range)
     return keyed, spans
 
 
