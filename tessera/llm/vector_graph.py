@@ -15,7 +15,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import staged
 from .components import connected_components
@@ -23,7 +22,9 @@ from .labelled import lowest_hashes
 
 LEAST_COSINE = 0.9
 #: vectors that centres are fitted on, at most; vertices of a unit, about; centres a vector goes to
-SAMPLE, UNIT, OVERLAP = 8192, 1200, 5
+SAMPLE, UNIT, OVERLAP = 8192, 1200, 4
+#: of the rows whose id is divisible by EVERY, at most AUDIT are compared with all rows to audit recall
+EVERY, AUDIT = 100, 2000
 #: pruned degree, its slack, candidates per vertex, width of the search, slack of the range
 DEGREE, ALPHA, CANDIDATES, BEAM, SLACK = 20, 1.2, 48, 16, 0.05
 #: most (query, neighbour) pairs that a step of the expansion may hold
@@ -145,7 +146,7 @@ def _forest_roots(n: int, links: list[tuple[np.ndarray, np.ndarray]]) -> np.ndar
 
 
 def shard_members(vertices: DataFrame, unit: int = UNIT, overlap: int = OVERLAP, sample: int = SAMPLE) -> DataFrame:
-    """(unit, id, embedding, weight, homes): a row for each unit that a vertex is in.
+    """(unit, id, embedding, weight, homes): a row for each unit that a vertex is in, made where it is read.
 
     ``homes`` lists the vertex's (shard, block) pairs.  Centres are fitted on at most ``sample``
     vertices, chosen by a hash of their ids; every vertex is assigned."""
@@ -159,20 +160,44 @@ def shard_members(vertices: DataFrame, unit: int = UNIT, overlap: int = OVERLAP,
         for part in parts:
             if len(part):
                 near = np.argpartition(-(_unit_rows(part["embedding"]) @ centres.value.T), most - 1, 1)[:, :most]
-                yield part[["id"]].assign(shards=list(np.sort(near, 1).astype(np.int32)))
+                yield part[["id", "embedding", "weight"]].assign(shards=list(np.sort(near, 1).astype(np.int32)))
 
-    placed, _ = staged(vertices.select("id", "embedding").mapInPandas(assign, "id bigint, shards array<int>"), "shards")
-    sizes = placed.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.ceil(F.count("*") / F.lit(unit // 2)).cast("int").alias("blocks"))
+    kind = dict(vertices.dtypes)["embedding"]
+    placed, _ = staged(vertices.mapInPandas(assign, f"id bigint, embedding {kind}, weight bigint, shards array<int>"), "shards")
+    # as many rows as there are centres
+    counts = placed.select(F.explode("shards").alias("shard")).groupBy("shard").count().collect()
     # a shard of up to two blocks is one unit
-    homes = placed.select("id", F.explode("shards").alias("shard")).join(F.broadcast(sizes), "shard").select("id", "shard", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")).alias("blocks"))
-    homes = homes.withColumn("block", F.pmod(F.xxhash64("id", "shard"), F.col("blocks")).cast("int"))
-    by_id = homes.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("shard", "block", "blocks"))).alias("homes"))
-    full = vertices.join(by_id, "id")
-    own = full.select("id", "embedding", "weight", "homes", F.explode("homes").alias("h"))
-    other = F.explode(F.sequence(F.lit(0), F.col("h.blocks") - 1)).alias("other")
-    pairs = own.select("id", "embedding", "weight", "homes", "h", other).where("h.blocks = 1 or other != h.block")
-    low, high = F.least("h.block", "other"), F.greatest("h.block", "other")
-    return pairs.select(F.concat_ws("/", "h.shard", low, high).alias("unit"), F.col("h.shard").alias("shard"), "id", "embedding", "weight", "homes")
+    blocks = vertices.sparkSession.sparkContext.broadcast({r["shard"]: n if (n := -(-r["count"] // (unit // 2))) > 2 else 1 for r in counts})
+
+    def spread(parts):
+        for part in parts:
+            out = []
+            for i, vector, weight, shards in part.itertuples(index=False):
+                homes = [{"shard": int(h), "block": _block(i, int(h), blocks.value[h]), "blocks": blocks.value[h]} for h in shards]
+                for h in homes:
+                    for other in range(h["blocks"]):
+                        if h["blocks"] == 1 or other != h["block"]:
+                            out.append((_unit(h["shard"], h["block"], other), i, vector, weight, homes))
+                            if len(out) == 5000:
+                                yield pd.DataFrame(out, columns=_MEMBER)
+                                out = []
+            if out:
+                yield pd.DataFrame(out, columns=_MEMBER)
+
+    return placed.mapInPandas(spread, f"unit string, id bigint, embedding {kind}, weight bigint, homes array<struct<shard:int,block:int,blocks:int>>")
+
+
+_MEMBER = ["unit", "id", "embedding", "weight", "homes"]
+
+
+def _block(i: int, shard: int, blocks: int) -> int:
+    """The block of a vertex in a shard, by a mix of both numbers."""
+    x = (i * 0x9E3779B97F4A7C15 ^ shard * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF
+    return ((x ^ x >> 29) * 0xBF58476D1CE4E5B9 >> 32 & 0xFFFFFFFF) % blocks
+
+
+def _unit(shard: int, a: int, b: int) -> str:
+    return f"{shard}/{min(a, b)}/{max(a, b)}"
 
 
 def _owner(homes: list[dict[int, tuple[int, int]]], a: np.ndarray, b: np.ndarray) -> list[str]:
@@ -184,7 +209,7 @@ def _owner(homes: list[dict[int, tuple[int, int]]], a: np.ndarray, b: np.ndarray
         y = homes[j][shard][0]
         if x == y and blocks > 1:
             y = (x + 1) % blocks
-        out.append(f"{shard}/{min(x, y)}/{max(x, y)}")
+        out.append(_unit(shard, x, y))
     return out
 
 
@@ -194,21 +219,23 @@ def search_units(members: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     def build(part: pd.DataFrame) -> pd.DataFrame:
         lists = _pruned(_unit_rows(part["embedding"]))
         ids = part["id"].to_numpy()
-        return pd.DataFrame({"id": ids, "near": [ids[own] for own in lists]})
+        return pd.DataFrame({"id": ids, "unit": part["unit"].iloc[0], "near": [ids[own] for own in lists]})
 
-    graph = members.groupBy("unit").applyInPandas(build, "id bigint, near array<bigint>")
-    united, _ = staged(graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
+    graph, _ = staged(members.groupBy("unit").applyInPandas(build, "id bigint, unit string, near array<bigint>"), "graph")
+    # lists are united by vertex and go back to each of its units; vectors stay where they are
+    united = graph.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.collect_list("unit").alias("units"))
+    lists = united.select("id", "near", F.explode("units").alias("unit"))
 
-    def search(part: pd.DataFrame) -> pd.DataFrame:
+    def search(part: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id", ignore_index=True)
         ids, unit = part["id"].to_numpy(), part["unit"].iloc[0]
         x, weight = _unit_rows(part["embedding"]), part["weight"].to_numpy()
         homes = [{h["shard"]: (h["block"], h["blocks"]) for h in own} for own in part["homes"]]
         neighbours = []
-        for own in part["near"]:
-            at = np.searchsorted(ids, own)
+        for near in own.sort_values("id")["near"]:
+            at = np.searchsorted(ids, near)
             at = at[at < len(ids)]
-            neighbours.append(at[np.isin(ids[at], own)] if len(at) else at)
+            neighbours.append(at[np.isin(ids[at], near)] if len(at) else at)
         medoid = int((x @ x.sum(0)).argmax())
         links, count = [], np.zeros(len(ids), np.int64)
         single = [len(h) == 1 and next(iter(h.values()))[1] == 1 for h in homes]
@@ -221,7 +248,7 @@ def search_units(members: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
             links.append((a, b))
         return pd.DataFrame({"id": ids, "links": count, "root": ids[_forest_roots(len(ids), links)]})
 
-    return members.join(united, "id").groupBy("unit").applyInPandas(search, "id bigint, links bigint, root bigint")
+    return members.groupBy("unit").cogroup(lists.groupBy("unit")).applyInPandas(search, "id bigint, links bigint, root bigint")
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, unit: int = UNIT, overlap: int = OVERLAP) -> DataFrame:
@@ -232,14 +259,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     different lengths.  Repeated rows are vectors of their own and link.  Other columns are ignored.
     The graph is searched, so links may be missed (see ``recall``); none below ``least`` is made.
     """
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    good = rows.where(F.col("id").isNotNull() & _usable("embedding"))
-    grouped, _ = staged(good.groupBy("embedding").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "vertices")
+    # numbers stay as they come, and are computed with in double precision
+    kind = dict(vectors.dtypes)[vector_col]
+    numbers = F.col(vector_col) if kind in ("array<float>", "array<double>") else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), numbers.alias("embedding"))
+    good = rows.where(F.col("id").isNotNull() & _usable("embedding")).withColumns({"k1": F.xxhash64("embedding"), "k2": F.xxhash64(F.lit(1), "embedding")})
+    grouped, _ = staged(good.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.first("embedding").alias("embedding")), "vertices")
     results = []
     for (length,) in grouped.select(F.size("embedding")).distinct().collect():
-        vertices = grouped.where(F.size("embedding") == length)
-        members, _ = staged(shard_members(vertices, unit, overlap), "members")
-        results.append(search_units(members, least))
+        vertices = grouped.where(F.size("embedding") == length).select("id", "embedding", "weight")
+        results.append(search_units(shard_members(vertices, unit, overlap), least))
     empty = rows.sparkSession.createDataFrame([], "id bigint, links bigint, root bigint")
     found = empty
     for part in results:
@@ -247,34 +276,42 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     found, _ = staged(found, "found")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     linked, _ = connected_components(found.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-    by_class = grouped.join(counts, "id", "left").join(linked.withColumnRenamed("node", "id"), "id", "left")
-    answer, _ = staged(by_class.select(F.col("embedding").alias("e"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component")), "answer")
-    return rows.join(answer, F.col("id").isNotNull() & (F.col("embedding") == F.col("e")), "left").select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"), F.coalesce("component", "id").alias("component"))
+    by_class = grouped.select("k1", "k2", "id", "weight").join(counts, "id", "left").join(linked.withColumnRenamed("node", "id"), "id", "left")
+    answer, _ = staged(by_class.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), F.coalesce("component", "id").alias("component")), "answer")
+    with_keys = good.select("id", "k1", "k2").unionByName(rows.where(~F.coalesce(F.col("id").isNotNull() & _usable("embedding"), F.lit(False))).select("id", F.lit(None).cast("bigint").alias("k1"), F.lit(None).cast("bigint").alias("k2")))
+    return with_keys.join(answer, ["k1", "k2"], "left").select(F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"), F.coalesce("component", "id").alias("component"))
 
 
 def vector_report(vectors: DataFrame) -> DataFrame:
-    """The query's columns."""
-    found = near_vectors(vectors)
-    return found.select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"))
-
-
-def recall(vectors: DataFrame, found: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, every: int = 100, block: int = 2000) -> float:
-    """Audit: links found over links there, of the rows whose id is divisible by ``every``.
-
-    The queries are compared with all rows by brute force, a block of queries at a time, in
-    the tasks that hold the rows."""
-    rows = vectors.where(_usable(vector_col)).select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    queries = rows.where(F.col("id") % every == 0).withColumn("block", F.floor(F.row_number().over(Window.orderBy("id")) / block))
-    there = 0
-    for (b,) in queries.select("block").distinct().collect():
-        own = queries.where(F.col("block") == b).select("id", "v").toPandas()
-        q, ids = _unit_rows(own["v"]), own["id"].to_numpy()
-
-        def count(parts, q=q, ids=ids):
-            for part in parts:
-                if len(part):
-                    yield pd.DataFrame({"n": [int(((_unit_rows(part["v"]) @ q.T >= least) & (part["id"].to_numpy()[:, None] != ids)).sum())]})
-
-        there += rows.mapInPandas(count, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    got = found.where(F.col(id_col) % every == 0).agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
-    return got / there if there else 1.0
+    """The query's columns, and the audited recall of the whole result in each row."""
+    found, _ = staged(near_vectors(vectors), "near")
+    return found.select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"), (F.col("vec_id") == F.col("component")).alias("kept"), F.lit(recall(vectors, found)).alias("recall"))
+
+
+def recall(vectors: DataFrame, found: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, every: int = EVERY, most: int = AUDIT) -> float:
+    """Audit: links found over links there, of the rows whose id is divisible by ``every``; if those are
+    more than ``most``, of the ones with the least id hashes.
+
+    The queries, bounded by ``most``, go to the tasks that hold the rows and are compared with all
+    rows of their length by brute force.  Without a link to find it is 1.0."""
+    rows = vectors.where(F.col(id_col).isNotNull() & _usable(vector_col)).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
+    queries = rows.where(F.col("id") % every == 0)
+    own = lowest_hashes(queries, "id", most, queries.count()).toPandas()
+    known = rows.sparkSession.sparkContext.broadcast([(n, _unit_rows(part["v"]), part["id"].to_numpy()) for n, part in own.groupby(own["v"].map(len))] if len(own) else [])
+
+    def count(parts):
+        for part in parts:
+            size = part["v"].map(len)
+            for n, q, ids in known.value:
+                rest = part[size == n]
+                for lo in range(0, len(rest), 2000):
+                    some = rest.iloc[lo : lo + 2000]
+                    near = _unit_rows(some["v"]) @ q.T >= least
+                    yield pd.DataFrame({"id": ids, "n": near.sum(0)})
+
+    there = rows.mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    # a query's own row is no link, and repeated ids are queries of their own
+    pairs = there.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] - len(own)
+    asked = rows.sparkSession.createDataFrame([(int(i),) for i in dict.fromkeys(own["id"].tolist())], "id bigint")
+    got = found.select(F.col(id_col).alias("id"), "links").join(F.broadcast(asked), "id").agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
+    return got / pairs if pairs else 1.0
