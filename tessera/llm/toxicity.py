@@ -21,13 +21,14 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, staged
 from .labelled import fit_logistic, fold, sample
 
 FOLDS, HELD_OUT = 5, 0
 #: most labelled documents, by label, that the grammar is fitted on
 SAMPLE = {1: 4000, 0: 12000}
-MOST_ARCS = 4000
+#: an arc's least weight (log odds) and least surprise (log likelihood ratio of its counts)
+LEAST_WEIGHT, LEAST_SURPRISE, LEAST_TOXIC = 3.4, 13.0, 3
 _PREFIXES = (4, 5, 6)
 _CACHED = 100_000
 
@@ -111,7 +112,8 @@ class Grammar:
         return known
 
     def features(self, text: str) -> list[float]:
-        """Summed weights of matched clauses by kind; log1p keeps long texts comparable."""
+        """Summed weights of matched clauses by kind, and the strongest insult of a clause that is neither
+        negated nor reported; log1p keeps long texts comparable."""
         total = dict.fromkeys(FEATURES, 0.0)
         lowered, tag = text.lower(), self.tag
         kinds = {w: tag(w)[0] for w in set(_WORD.findall(lowered))}
@@ -121,19 +123,22 @@ class Grammar:
         return [math.log1p(total[k]) for k in FEATURES[:-1]] + [total["strongest"]]
 
     def _clause(self, clause: str, total: dict[str, float]) -> None:
-        state, insults, negated, threat = 0, 0.0, False, False
+        state, insults, strongest, negated, threat = 0, 0.0, 0.0, False, False
         for word in _WORD.findall(clause):
             kind, weight = self.tag(word)
             if kind == INSULT:
                 insults += weight
+                strongest = max(strongest, weight)
                 negated |= "negated" in self.marks[state]
-                total["strongest"] = max(total["strongest"], weight)
             state = self.table[state][kind]
             threat |= "threat" in self.marks[state]
         marks = self.marks[state]
         total["threat"] += threat
         if insults:
-            total["reported" if "reported" in marks else "negated" if negated else "aimed" if "target" in marks else "plain"] += insults
+            kind = "reported" if "reported" in marks else "negated" if negated else "aimed" if "target" in marks else "plain"
+            total[kind] += insults
+            if kind in ("aimed", "plain"):
+                total["strongest"] = max(total["strongest"], strongest)
 
     def score(self, text: str) -> float:
         z = sum(w * x for w, x in zip(self.weights, [*self.features(text), 1.0], strict=True))
@@ -146,12 +151,13 @@ def _shapes(text: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in _PREFIXES if len(w) > n}
 
 
-def _arcs(rows: DataFrame, most: int) -> tuple[dict[str, float], dict[str, float]]:
+def _arcs(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Shapes that stand in far more toxic documents than chance lets them.
 
     Copies would count one text many times, so of documents with the same least word hash one
-    stands for all.  Counts are made in the tasks and summed by a grouped aggregation; what
-    reaches the driver is at most ``most`` arcs.
+    stands for all.  Counts are made in the tasks, summed and judged by a grouped aggregation;
+    every shape that passes is an arc.  Each stands in three toxic documents at least, so the
+    bound on the labelled documents bounds the arcs too.
     """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,30 +179,29 @@ def _arcs(rows: DataFrame, most: int) -> tuple[dict[str, float], dict[str, float
     id_kind = dict(rows.dtypes)["id"]
     apart = rows.mapInArrow(keyed, f"least bigint, id {id_kind}, text string, y int").groupBy("least", "y").agg(F.min_by("text", "id").alias("text")).select("text", "y")
     counts = apart.mapInArrow(counted, "shape string, toxic bigint, clean bigint").groupBy("shape").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    both = counts.where("shape = '' or toxic >= 3").orderBy(F.col("shape") != "", F.desc(F.col("toxic") / (F.col("clean") + 1)), F.desc("toxic"), "shape").limit(most + 1).collect()
-    whole = next((r for r in both if r["shape"] == ""), None)
+    counts, _ = staged(counts, "shapes")
+    whole = counts.where("shape = ''").first()
     words: dict[str, float] = {}
     beginnings: dict[str, float] = {}
     if whole is None or not whole["toxic"] or not whole["clean"]:
         return words, beginnings
     rate = whole["toxic"] / (whole["toxic"] + whole["clean"])
-    for row in both:
-        a, b = row["toxic"], row["clean"]
-        share = a / (a + b)
-        surprise = (a + b) * (share * math.log(share / rate) + ((1 - share) * math.log((1 - share) / (1 - rate)) if b else 0.0))
-        weight = math.log((a + 0.5) / (whole["toxic"] + 1)) - math.log((b + 0.5) / (whole["clean"] + 1))
-        if row["shape"] and share > rate and weight >= 3.4 and surprise >= 13.0:
-            (beginnings if row["shape"].endswith("*") else words)[row["shape"].rstrip("*")] = round(weight, 4)
+    share, clean_share = F.col("toxic") / F.col("n"), F.col("clean") / F.col("n")
+    surprise = F.col("n") * (share * F.log(share / rate) + F.when(F.col("clean") > 0, clean_share * F.log(clean_share / (1 - rate))).otherwise(0.0))
+    weight = F.log((F.col("toxic") + 0.5) / (whole["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (whole["clean"] + 1))
+    judged = counts.where(f"shape != '' and toxic >= {LEAST_TOXIC}").withColumn("n", F.col("toxic") + F.col("clean")).select("shape", share.alias("share"), surprise.alias("surprise"), F.round(weight, 4).alias("weight"))
+    for row in judged.where((F.col("share") > rate) & (F.col("weight") >= LEAST_WEIGHT) & (F.col("surprise") >= LEAST_SURPRISE)).collect():
+        (beginnings if row["shape"].endswith("*") else words)[row["shape"].rstrip("*")] = row["weight"]
     return words, beginnings
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", rows: dict[int, int] | None = None, most_arcs: int = MOST_ARCS) -> Grammar:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", rows: dict[int, int] | None = None) -> Grammar:
     """The grammar fitted on at most ``rows`` labelled documents of the training folds.
 
     Without labels of both kinds there are no arcs, and every text gets the same score."""
     small_batches(docs.sparkSession)
     held = sample(docs, labels, label, fold(id_col, FOLDS) != HELD_OUT, rows or SAMPLE, id_col, text_col)
-    grammar = Grammar(*_arcs(held, most_arcs))
+    grammar = Grammar(*_arcs(held))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -66,3 +66,108 @@ def test_lowest_hashes_are_those_of_a_full_sort(spark):
     ids = spark.range(100_000)
     plain = [r["id"] for r in ids.orderBy(F.xxhash64("id"), "id").limit(50).collect()]
     assert [r["id"] for r in lowest_hashes(ids, "id", 50, 100_000).collect()] == plain
+
+
+def plain_features(text, words, beginnings):
+    """Clause by clause with plain rules on word places, no automaton."""
+    import math
+    import re
+
+    fixed = {w: tag for tag, listed in toxicity.WORDS.items() for w in listed.split()}
+    total = dict.fromkeys(["plain", "aimed", "negated", "reported", "threat"], 0.0)
+    strongest = 0.0
+    for clause in re.split(r"[.!?;:,\n()\[\]\"“”«»]+", text.lower()):
+        said = re.findall(r"[^\W\d_]+(?:'[a-z]+)?", clause)
+        weights = [max([words.get(w, 0.0), *(beginnings.get(w[:n], 0.0) for n in (4, 5, 6) if len(w) >= n)]) for w in said]
+        tags = [toxicity.INSULT if x > 0 else fixed.get(w, toxicity.OTHER) for w, x in zip(said, weights)]
+        places = lambda tag: [i for i, t in enumerate(tags) if t == tag]
+        insults = places(toxicity.INSULT)
+        total["threat"] += any(0 < h - m <= 4 for m in places(toxicity.MODAL) for h in places(toxicity.HARM))
+        if insults:
+            negated = any(0 < i - n <= 3 for i in insults for n in places(toxicity.NEGATION))
+            kind = "reported" if places(toxicity.SPEECH) else "negated" if negated else "aimed" if places(toxicity.TARGET) else "plain"
+            total[kind] += sum(weights[i] for i in insults)
+            if kind in ("aimed", "plain"):
+                strongest = max(strongest, *(weights[i] for i in insults))
+    return [math.log1p(x) for x in total.values()] + [strongest]
+
+
+def logistic(weights, x):
+    z = sum(w * v for w, v in zip(weights, [*x, 1.0], strict=True))
+    return round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 6)
+
+
+def test_toxicity_scores_equal_plain_clause_rules(spark):
+    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    grammar = toxicity.learn(docs, labels)
+    assert grammar.words or grammar.beginnings
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity_report(docs, labels).collect()}
+    for r in docs.collect():
+        x = plain_features(r["text"] or "", grammar.words, grammar.beginnings)
+        assert abs(got[r["doc_id"]] - logistic(grammar.weights, x)) < 2e-6, r["doc_id"]
+
+
+def test_plain_clause_rules_on_made_up_clauses():
+    rng = np.random.default_rng(7)
+    listed = [w for tag in toxicity.WORDS.values() for w in tag.split()[:6]] + ["fool", "rotten", "rottenness", "house", "green", ".", ",", "\n"]
+    grammar = toxicity.Grammar({"fool": 2.0}, {"rott": 1.5}, [1.0] * 7)
+    for _ in range(3000):
+        text = " ".join(rng.choice(listed, rng.integers(0, 14)))
+        assert np.allclose(grammar.features(text), plain_features(text, grammar.words, grammar.beginnings)), text
+
+
+def test_arcs_pass_the_bounds_and_none_is_left_out(spark):
+    """Counts made anew in plain Python over the same sample give the same arcs."""
+    import math
+
+    from tessera.llm.labelled import fold, sample
+
+    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    held = sample(docs, labels, "toxic", fold("doc_id", 5) != 0, toxicity.SAMPLE).collect()
+    import xxhash
+
+    apart = {}
+    for r in sorted(held, key=lambda r: r["id"], reverse=True):
+        shapes = toxicity._shapes(r["text"])
+        least = min((xxhash.xxh64_intdigest(w) >> 1 for w in shapes if not w.endswith("*")), default=0)
+        apart[least, r["y"]] = shapes
+    n = {y: sum(k[1] == y for k in apart) for y in (0, 1)}
+    count = {y: {} for y in (0, 1)}
+    for (_, y), shapes in apart.items():
+        for shape in shapes:
+            count[y][shape] = count[y].get(shape, 0) + 1
+    expected = {}
+    for shape, a in count[1].items():
+        b = count[0].get(shape, 0)
+        share, rate = a / (a + b), n[1] / (n[0] + n[1])
+        surprise = (a + b) * (share * math.log(share / rate) + ((1 - share) * math.log((1 - share) / (1 - rate)) if b else 0.0))
+        weight = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
+        if a >= 3 and share > rate and weight >= 3.4 and surprise >= 13.0:
+            expected[shape] = weight
+    grammar = toxicity.learn(docs, labels)
+    found = grammar.words | {f"{w}*": x for w, x in grammar.beginnings.items()}
+    assert found.keys() == expected.keys() and all(abs(found[k] - expected[k]) < 1e-3 for k in found)
+
+
+def test_quality_scores_equal_plain_block_sizes(spark):
+    import zstandard
+
+    docs, labels = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = quality.learn(docs, labels)
+    assert found.good and found.bad
+
+    def size(raw, known):
+        press = zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, dict_data=zstandard.ZstdCompressionDict(known))
+        return sum(len(press.compress(raw[i : i + 2048])) for i in range(0, len(raw), 2048))
+
+    got = {r["doc_id"]: r["score"] for r in quality.quality_report(docs, labels).collect()}
+    for r in docs.collect():
+        raw = (r["text"] or "").encode()
+        a, b = size(raw, found.good), size(raw, found.bad)
+        assert abs(got[r["doc_id"]] - logistic(found.weights, [100 * (b - a) / (a + b) if a + b else 0.0])) < 2e-6, r["doc_id"]
+
+
+def test_blocks_of_long_texts_are_all_there(spark):
+    rows = spark.createDataFrame([(1, "a" * 5000, 1), (2, "", 1), (3, "é" * 2000, 0)], "h long, text string, y int")
+    got = sorted((r["y"], len(r["block"])) for r in quality._blocks(rows).collect())
+    assert got == [(0, 1952), (0, 2048), (1, 904), (1, 2048), (1, 2048)]
