@@ -32,7 +32,7 @@ _LINKS = rf"""(SELECT page_id, CAST(i AS BIGINT) AS ord, regexp_extract(a, 'href
 
 @query(rf"SELECT tag, count(*) AS n FROM (SELECT unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)', 1)) AS tag FROM {_CLEAN}) GROUP BY 1")
 def page_nodes_by_tag(spark, d):
-    return shred(_pages(spark, d)).where("kind = 'element'").groupBy("tag").agg(F.count("*").alias("n"))
+    return shred(_pages(spark, d), columns=("kind", "tag")).where("kind = 'element'").groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query(rf"""SELECT page_id, trim(replace(regexp_extract(h, '(?s)<title>(.*?)</title>', 1), '&amp;', '&')) AS title, trim(replace(regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) AS heading, regexp_extract(h, '<html lang="([^"]*)"', 1) AS language FROM {_CLEAN}""")

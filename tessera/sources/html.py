@@ -1,6 +1,6 @@
 """HTML pages as a node table: one row per element, text or comment.
 
-Only the tokeniser is Python (an event parser in ``mapInPandas``); selectors are joins and filters on
+Only the tokeniser is Python (an event parser in ``mapInArrow``); selectors are joins and filters on
 ``pre``/``last`` intervals: a node's subtree is the rows of its page with pre <= x <= last.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +18,12 @@ SCHEMA = (
     "item_id bigint, pre int, last int, parent int, depth int, ord int, kind string, tag string, text string, "
     "id string, classes array<string>, style string, href string, attrs map<string,string>, error string"
 )
+_ARROW = pa.schema(
+    [("item_id", pa.int64()), *((name, pa.int32()) for name in ("pre", "last", "parent", "depth", "ord")), *((name, pa.string()) for name in ("kind", "tag", "text", "id")),
+     ("classes", pa.list_(pa.string())), ("style", pa.string()), ("href", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("error", pa.string())]
+)
+#: rows of a record batch, about: a page is never cut
+_ROWS = 50_000
 
 
 class _Events(HTMLParser):
@@ -35,7 +41,7 @@ class _Events(HTMLParser):
             named.setdefault(k, v if v is not None else "")
         pre = len(self.rows)
         parent = self.open[-1] if self.open else None
-        self.rows.append([pre, pre, parent, len(self.open), self.children[-1], kind, tag, text, named.get("id"), named.get("class", "").split(), named.get("style"), named.get("href"), named])
+        self.rows.append([pre, pre, parent, len(self.open), self.children[-1], kind, tag, text, named.get("id"), named.get("class", "").split(), named.get("style"), named.get("href"), list(named.items())])
         self.children[-1] += kind == "element"
         return pre
 
@@ -71,15 +77,20 @@ class _Events(HTMLParser):
         return self.rows
 
 
-def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """The node table of ``pages``.  Errors are rows: a page that is null or blank, or lacks html or
+def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", columns: tuple[str, ...] | None = None) -> DataFrame:
+    """The node table of ``pages``, or those of its ``columns`` that are wanted.  Errors are rows: a page that is null or blank, or lacks html or
     body, gives one row of kind ``error`` beside what could be read."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in SCHEMA.replace("map<string,string>", "map").split(", ")]
+    wanted = [f for f in _ARROW if columns is None or f.name in columns]
+    at = [_ARROW.get_field_index(f.name) for f in wanted]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in zip(at, wanted, strict=True)], schema=pa.schema(wanted))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
         for part in parts:
-            out = []
-            for item, html in zip(part["item_id"], part["html"], strict=True):
+            for item, html in zip(part.column("item_id").to_pylist(), part.column("html").to_pylist(), strict=True):
                 rows = []
                 if html and html.strip():
                     events = _Events()
@@ -87,9 +98,14 @@ def shred(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
                     rows = events.finish()
                 tags = {r[6] for r in rows}
                 missing = "empty page" if not rows else ", ".join(f"no {t}" for t in ("html", "body") if t not in tags)
-                out += [[item, *r, None] for r in rows]
+                out += [(item, *r, None) for r in rows]
                 if missing:
-                    out.append([item, -1, -1, None, 0, 0, "error", None, None, None, [], None, None, {}, missing])
-            yield pd.DataFrame(out, columns=names)
-
-    return pages.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(html_col).alias("html")).mapInPandas(run, SCHEMA)
+                    out.append((item, -1, -1, None, 0, 0, "error", None, None, None, [], None, None, [], missing))
+                if len(out) >= _ROWS:
+                    yield batch(out)
+                    out = []
+        if out:
+            yield batch(out)
+
+    kept = ", ".join(c for c in SCHEMA.split(", ") if columns is None or c.split()[0] in columns)
+    return pages.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(html_col).alias("html")).mapInArrow(run, kept)
