@@ -59,3 +59,33 @@ def test_page_global_content(spark):
     content, errors = filtered.page_global_content(nodes, wanted)
     assert {(r["item_id"], r["error"]) for r in errors.collect()} == {(1, "material behind common sections"), (2, "empty base content")}
     assert {r["item_id"]: r["baseContent"] for r in content.collect()}[0] == "<p>after</p>"
+
+
+UNITS = '<div class="scroll-table"><p>u</p><div class="scroll-table"><table id="a"></table></div><i>v</i></div><table data-table-id="b"><tr><td>x</td></tr></table><div class="scroll-table"><table id="c"></table></div><p>rest</p>'
+
+
+def test_a_batch_of_region_pages(spark):
+    rules = spark.createDataFrame([("tabContent1-value", "east", ["a", "c"]), ("tabContent1-value", "north", ["b"])], "os string, region string, table_ids array<string>")
+    pages = spark.createDataFrame([(0, region_page(UNITS)), (1, None), (2, region_page("<p>no unit</p>")), (3, region_page(UNITS).replace(">East</span>", ">?</span>"))], "item_id long, html string")
+    result = run.run_filtered(items(spark, 5, "k"), pages, rules, "region_filter")
+    got = {r["item_id"]: (r["status"], r["reason"], r["usage"], r["l3b"]) for r in result.items.collect()}
+    assert got[0] == ("passed", "", "passed", "passed")
+    assert got[1][:2] == ("blocked", "input") and got[2][:2] == ("blocked", "extraction") and got[3][:2] == ("blocked", "extraction") and got[4][:2] == ("blocked", "input")
+    groups = result.payloads.first()["payload"]["contentGroups"]
+    assert '<p>u</p><i>v</i></div><table data-table-id="b">' in groups[0]["content"] and 'id="c"' not in groups[0]["content"]
+    assert 'data-table-id="b"' not in groups[1]["content"] and 'id="a"' in groups[1]["content"]
+
+
+def test_the_second_reading_catches_a_wrong_region(spark):
+    nodes = shred(spark.createDataFrame([(0, region_page(UNITS)), (1, region_page(UNITS))], "page_id long, html string")).cache()
+    rules = spark.createDataFrame([("tabContent1-value", "east", ["a"])], "os string, region string, table_ids array<string>")
+    payloads = filtered.extract_region(nodes, items(spark, 2, "k"), rules)[0].cache()
+    lookups = run.page_lookups(nodes, rules)
+    swapped = payloads.withColumn("payload", F.col("payload").withField("contentGroups", F.when(F.col("item_id") == 0, F.col("payload.contentGroups")).otherwise(F.transform("payload.contentGroups", lambda g: g.withField("content", F.concat(g["content"], F.lit("!")))))))
+    assert {r["item_id"]: r["status"] for r in independent.check_regions(swapped, nodes, lookups).collect()} == {0: "passed", 1: "failed"}
+    fewer = payloads.withColumn("payload", F.col("payload").withField("contentGroups", F.when(F.col("item_id") == 0, F.col("payload.contentGroups")).otherwise(F.slice("payload.contentGroups", 1, 1))))
+    assert {r["item_id"]: r["status"] for r in independent.check_regions(fewer, nodes, lookups).collect()} == {0: "passed", 1: "failed"}
+    assert {r["item_id"]: r["status"] for r in independent.check_criteria(fewer).collect()} == {0: "passed", 1: "failed"}
+    # the usage report of a page that looks nothing valid up can fail the stage
+    usage = run.page_lookups(nodes, rules.unionByName(rules)).groupBy("item_id").agg(F.count("*").alias("n"))
+    assert {r["n"] for r in usage.collect()} == {3}
