@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +30,21 @@ def write_once(df: DataFrame, path: str) -> None:
 
 
 def seal(spark: SparkSession, building: str, sealed: str) -> bool:
-    """Rename ``X.building`` to ``X``; False if a sealed one is there."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(building).getFileSystem(spark._jsc.hadoopConfiguration())
-    return not files.exists(hadoop(sealed)) and files.rename(hadoop(building), hadoop(sealed))
+    """Rename ``X.building`` to ``X``; False if a sealed one is there.
+
+    One rename that refuses to replace decides, so of two writers one alone can pass."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    source, target = fs.Path(building), fs.Path(sealed)
+    try:
+        fs.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration()).rename(source, target, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def freeze_actions(items: DataFrame, upstream: DataFrame, frozen: DataFrame, keys: list[str], product: str, content: str) -> DataFrame:

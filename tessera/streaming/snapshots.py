@@ -9,31 +9,34 @@ from pyspark.sql.streaming import StreamingQuery
 from tessera.operators.changes import snapshot_changes
 
 
-def baseline(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The latest content of each key among the baseline's versions."""
-    try:
-        rows = spark.read.schema(f"{schema}, version bigint").parquet(path)
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        rows = spark.createDataFrame([], f"{schema}, version bigint")
-    names = [c.strip().split()[0] for c in schema.split(",")]
-    return rows.groupBy(names[0]).agg(F.max_by(F.struct(*names[1:]), "version").alias("x")).select(names[0], "x.*")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions whose whole table is there, as the writer's success mark says."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    found = fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs.Path(f"{path}/batch=*/_SUCCESS"))
+    return sorted(int(f.getPath().getParent().getName().removeprefix("batch=")) for f in found or [])
+
+
+def baseline(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The latest content of each key: the newest version (below ``before``), which holds all keys."""
+    versions = [v for v in _versions(spark, path) if before is None or v < before]
+    return spark.read.schema(schema).parquet(f"{path}/batch={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
 def watch(spark: SparkSession, arrivals: str, baseline_path: str, changes_path: str, checkpoint: str, schema: str = "page_id bigint, html string") -> StreamingQuery:
     """Start a query that writes (key, change, version) of every arrival and advances the baseline.
 
-    A batch that is run again after a failure overwrites its own version, so nothing is told twice.
+    A version of the baseline holds every key's latest content, so a batch reads one version and writes
+    the next.  A batch that is run again after a failure overwrites its own version, so nothing is told twice.
     """
     key, content = (c.strip().split()[0] for c in schema.split(","))
 
     def advance(batch: DataFrame, version: int) -> None:
         new = batch.groupBy(key).agg(F.max(content).alias(content))
-        old = baseline(spark, baseline_path, schema) if version else spark.createDataFrame([], schema)
+        old = baseline(spark, baseline_path, schema, version)
         found = snapshot_changes(new, new, old, key, content).where("change != 'unchanged'")
         found.withColumn("version", F.lit(version).cast("bigint")).write.mode("overwrite").parquet(f"{changes_path}/batch={version}")
-        new.withColumn("version", F.lit(version).cast("bigint")).write.mode("overwrite").parquet(f"{baseline_path}/batch={version}")
+        kept = old.join(new.select(key), key, "left_anti").select(key, content)
+        kept.unionByName(new.select(key, content)).write.mode("overwrite").parquet(f"{baseline_path}/batch={version}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
     return stream.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
