@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contract
 from tessera.operators import tree
 from tessera.plans import extract, verify
+from tessera.plans.run import run_simple
 from tessera.sources.commit import staged
 from tessera.sources.html import shred
 from tessera.streaming.snapshots import event_windows as _windows
@@ -16,7 +17,7 @@ from .register import registrar
 QUERIES, ORACLES, query = registrar()
 
 
-def _pricing_nodes(spark, d):
+def _pricing_pages(spark, d):
     """Pages in the shape of pricing pages: banner, selector with two table units, service levels."""
     html = F.col("html")
     for old, new in (
@@ -30,8 +31,12 @@ def _pricing_nodes(spark, d):
         ("</body>", "</div></body>"),
     ):
         html = F.replace(html, F.lit(old), F.lit(new))
-    pages = spark.read.parquet(f"{d}/pages.parquet")
-    nodes, _ = staged(shred(pages.withColumn("html", html)), "nodes")
+    return spark.read.parquet(f"{d}/pages.parquet").withColumn("html", html)
+
+
+def _pricing_nodes(spark, d):
+    pages = _pricing_pages(spark, d)
+    nodes, _ = staged(shred(pages), "nodes")
     items = pages.select(F.col("page_id").alias("item_id"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("language"), F.concat(F.lit("page-"), F.col("page_id").cast("string")).alias("slug"))
     return nodes, items
 
@@ -117,3 +122,13 @@ def _versions(spark, d):
 @query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     return _windows(spark.read.parquet(f"{d}/events.parquet"))
+
+
+@query("""SELECT CAST(page_id AS BIGINT) AS item_id, CASE WHEN page_id % 10 < 3 THEN 'blocked' ELSE 'passed' END AS status, CASE WHEN page_id % 10 = 0 THEN 'input' WHEN page_id % 10 < 3 THEN 'extraction' ELSE '' END AS reason FROM pages""")
+def batch_of_simple_pages(spark, d):
+    """A batch from pages to accounts: some pages are missing, some have no body, some break the contract."""
+    pages = _pricing_pages(spark, d).withColumnRenamed("page_id", "item_id")
+    digit = F.col("item_id") % 10
+    html = F.when(digit == 1, F.replace("html", F.lit("technical-azure-selector"), F.lit("other"))).when(digit == 2, F.regexp_replace("html", "<title>[^<]*</title>", "<title> </title>")).otherwise(F.col("html"))
+    items = pages.select("item_id", F.concat(F.lit("p"), F.col("item_id").cast("string")).alias("product_key"), F.lit("en-us").alias("language"), F.concat(F.lit("page-"), F.col("item_id").cast("string")).alias("slug"))
+    return run_simple(items, pages.where(digit != 0).select("item_id", html.alias("html"))).items.select("item_id", "status", "reason")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import chains, runs
+from tessera.plans import independent
 
 from .register import registrar
 
@@ -219,3 +220,13 @@ def review_material(spark, d):
     paths = {f"{kind}_path": F.concat("language", F.lit(f"/{end}")) for kind, end in zip(runs.MATERIALS, "hpab", strict=True)}
     items = orders.join(people, "product_key").withColumns(paths).withColumn("product_key", F.col("product_key").cast("string"))
     return runs.material_markdown(items, ["O", "F", "P"]).select(F.col("product_key").cast("bigint").alias("product_key"), "markdown")
+
+
+@query("""SELECT CAST(l_suppkey AS VARCHAR) AS os, region, list_sort(list(DISTINCT id)) AS table_ids, CASE WHEN bool_or(id = '') THEN 'empty id' END AS error FROM
+ (SELECT l_suppkey, l_returnflag AS region, CASE WHEN l_quantity = 1 THEN '' WHEN l_quantity = 2 THEN '#' || l_partkey ELSE CAST(l_partkey AS VARCHAR) END AS id FROM lineitem) GROUP BY l_suppkey, region""")
+def second_exclusions(spark, d):
+    """The checker's own reading of exclusion rows."""
+    q, key = F.col("l_quantity"), F.col("l_partkey").cast("string")
+    ids = F.when(q == 1, F.lit(" # ")).when(q == 2, F.concat(F.lit("##"), key)).otherwise(F.concat(F.lit(" #"), key, F.lit(" ")))
+    raw = _table(spark, d, "lineitem").groupBy(F.concat(F.lit(" "), F.col("l_suppkey").cast("string")).alias("os"), F.concat("l_returnflag", F.lit(" ")).alias("region")).agg(F.collect_list(ids).alias("ids"))
+    return independent.second_exclusions(raw).select("os", "region", F.array_sort("table_ids").alias("table_ids"), "error")
