@@ -1,6 +1,11 @@
 """A corpus pipeline: toxicity, near-duplicates, decontamination, personal data, tokens.
 
 ``run`` applies the stages in order, each to what the one before kept.
+
+In every stage a null text counts as empty and stays null in its row, rows with a null doc_id are judged
+by their texts like any other, repeated rows are judged alike (of rows with one doc_id the
+near-duplicate stage keeps one), an empty table gives an empty table, and further columns, whatever
+their names, pass through all stages but the last.
 """
 
 from __future__ import annotations

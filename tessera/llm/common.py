@@ -38,12 +38,22 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and
-    later reads survive the loss of any executor.  Returns the table and its path."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    later reads survive the loss of any executor.  Returns the table and its path.
+
+    Shuffle files of the write go when it has ended; nothing reads them any more."""
+    spark = df.sparkSession
+    path, before = work_path(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, *paths: str) -> None:
@@ -78,6 +88,25 @@ def blocks(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(lengths)
 
 
+def word_bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of flagged bytes; none crosses an offset."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[offsets] = True
+    before = np.empty(len(inside), bool)
+    before[:1], before[1:] = False, inside[:-1]
+    after = np.empty(len(inside), bool)
+    after[-1:], after[:-1] = False, inside[1:]
+    return np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
+
+
+def prefix_sums(values: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the values times rising powers, and the falling powers that bring a difference to its place."""
+    up, down = powers.upto(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:-1], out=total[1:])
+    return total, down
+
+
 class Powers:
     """Powers of an odd base modulo 2**64 and of its inverse, kept as long as the longest block."""
 

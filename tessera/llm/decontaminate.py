@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Powers, blocks, mix, small_batches, staged, text_buffer
+from .common import Powers, blocks, mix, prefix_sums, small_batches, staged, text_buffer, word_bounds
 
 WINDOW = 10
 SLICE_WINDOWS = 400_000
@@ -33,25 +33,11 @@ _BYTES, _WORDS = Powers(0x9E3779B97F4A7C15), Powers(0xD6E8FEB86659FD93)
 
 def _split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in lower-cased bytes; no word crosses an offset."""
-    inside = _IS_WORD[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[offsets] = True
-    before = np.empty(len(data), bool)
-    before[:1], before[1:] = False, inside[:-1]
-    after = np.empty(len(data), bool)
-    after[-1:], after[:-1] = False, inside[1:]
-    return np.flatnonzero(inside & (~before | edge[:-1])), np.flatnonzero(inside & (~after | edge[1:])) + 1
-
-
-def _prefix(values: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    up, down = powers.upto(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=total[1:])
-    return total, down
+    return word_bounds(_IS_WORD[data], offsets)
 
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total, down = _prefix(data.astype(np.uint64) + np.uint64(1), _BYTES)
+    total, down = prefix_sums(data.astype(np.uint64) + np.uint64(1), _BYTES)
     return mix((total[ends] - total[starts]) * down[starts])
 
 
@@ -65,7 +51,7 @@ class _Windows:
             data = np.frombuffer(key, np.uint8)
             starts, ends = _split(data, np.array([0, len(data)]))
             n = len(starts)
-            total, down = _prefix(_word_hashes(data, starts, ends), _WORDS)
+            total, down = prefix_sums(_word_hashes(data, starts, ends), _WORDS)
             bitmap = self.maps.setdefault(n, np.zeros(1 << _BITS, bool))
             bitmap[int(mix(np.array([total[n] * down[0]]))[0]) >> (64 - _BITS)] = True
 
@@ -76,7 +62,7 @@ class _Windows:
         hit, found = np.zeros(len(starts), bool), {}
         if not len(starts):
             return starts, ends, owner, hit, found
-        total, down = _prefix(_word_hashes(data, starts, ends), _WORDS)
+        total, down = prefix_sums(_word_hashes(data, starts, ends), _WORDS)
         raw = data.tobytes()
         for n, bitmap in self.maps.items():
             if len(starts) < n:

@@ -59,3 +59,21 @@ def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, FOLDER).schema.names == docs.columns
+
+
+def test_stages_take_empty_tables_nulls_and_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    names = ["id", "row", "fp", "component", "h", "y", "least", "spans", "score", "packed", "_parts"]
+    odd = docs.limit(20).unionByName(spark.createDataFrame([(None, None, None, None, None), (-1, None, "en", "s", None), (-2, "", "en", "s", 0), (-3, "word " * 30000, None, "s", 150000)], docs.schema))
+    odd = odd.selectExpr(*docs.columns, *(f"'{n}' as `{n}`" for n in names)).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, odd, FOLDER)
+        assert kept.columns == odd.columns, name
+        rows = kept.collect()
+        assert all(r[n] == n for r in rows for n in names), name
+        assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in odd.collect()} and None in {r["doc_id"] for r in rows}, name
+        assert next(r for r in rows if r["doc_id"] is None)["text"] is None, name
+        assert stage(spark, odd.limit(0), FOLDER).collect() == [], name
+    last = corpus_pipeline.STAGES[-1][1]
+    assert {r["doc_id"]: r["n_tokens"] for r in last(spark, odd, FOLDER).collect() if (r["doc_id"] or -1) < 0}.items() >= {None: 0, -1: 0, -2: 0}.items()
+    assert last(spark, odd.limit(0), FOLDER).collect() == []
