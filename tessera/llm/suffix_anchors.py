@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import Powers, blocks, mix
+from .common import Powers, blocks, mix, prefix_sums, word_bounds
 
 GRAM = 64
 _POSITION_BITS = 24
 _BLOCK = 1 << 20
-_BYTES, _AGAIN = Powers(0x9E3779B97F4A7C15), Powers(0xA0761D6478BD642F)
+_BYTES, _AGAIN, _LETTERS = Powers(0x9E3779B97F4A7C15), Powers(0xA0761D6478BD642F), Powers(0xE7037ED1A0B428DB)
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[9:14] = _IS_WORD[32] = False
 
 
 def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
@@ -30,20 +32,25 @@ def _sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
+def word_symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, offsets): each word of each text as a 64-bit hash; words are what white space parts."""
+    starts, ends = word_bounds(_IS_WORD[data], offsets)
+    out, at = np.zeros(len(starts), np.uint64), np.searchsorted(starts, offsets)
+    for lo, hi in blocks(np.diff(offsets), _BLOCK):
+        a, b = at[lo], at[hi]
+        base = int(offsets[lo])
+        total, down = prefix_sums(data[base : offsets[hi]].astype(np.uint64) + np.uint64(1), _LETTERS)
+        out[a:b] = mix((total[ends[a:b] - base] - total[starts[a:b] - base]) * down[starts[a:b] - base])
+    return out, at
+
+
 def regions(data: np.ndarray, length: int, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Regions of one text or of a part of it: start and number of windows, place of the anchor in
     the region, hashes of anchor and region (``region`` and ``more``, of independent bases)."""
     if len(data) < length:
         return {k: np.zeros(0, np.int64) for k in ("start", "windows", "at", "anchor", "region", "more")}
     symbols = data.astype(np.uint64) + np.uint64(1)
-
-    def prefix(powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-        up, down = powers.upto(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(symbols * up[:-1], out=total[1:])
-        return total, down
-
-    total, down = prefix(_BYTES)
+    total, down = prefix_sums(symbols, _BYTES)
     grams = mix((total[gram:] - total[:-gram]) * down[: len(data) - gram + 1])
     mask = np.uint64((1 << _POSITION_BITS) - 1)
     keys = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
@@ -54,20 +61,20 @@ def regions(data: np.ndarray, length: int, gram: int = GRAM) -> dict[str, np.nda
     anchor = place[start]
     stop = end - 1 + length
     whole = mix((total[stop] - total[start]) * down[start])
-    again, back = prefix(_AGAIN)
+    again, back = prefix_sums(symbols, _AGAIN)
     more = mix((again[stop] - again[start]) * back[start])
     shape = mix(((end - start) * 100_003 + anchor - start).astype(np.uint64))
     return {"start": start, "windows": end - start, "at": anchor - start, "anchor": grams[anchor].view(np.int64), "region": (mix(whole) ^ shape).view(np.int64), "more": (mix(more) ^ shape).view(np.int64)}
 
 
-def text_regions(data: np.ndarray, offsets: np.ndarray, length: int):
+def text_regions(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM):
     """Yields (row, regions) for each text of a buffer; a text over the block size is read in parts
     that overlap by ``length - 1`` bytes, so that no window is lost or seen twice."""
     for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         for lo in range(a, max(b - length + 1, a), _BLOCK):
-            part = regions(data[lo : min(lo + _BLOCK + length - 1, b)], length)
+            part = regions(data[lo : min(lo + _BLOCK + length - 1, b)], length, gram)
             part["start"] = part["start"] + (lo - a)
             yield row, part
 
 
-__all__ = ["blocks", "regions", "text_regions"]
+__all__ = ["regions", "text_regions", "word_symbols"]

@@ -12,18 +12,21 @@ grouped aggregations that add up before their shuffles instead.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged, text_buffer
-from .suffix_anchors import GRAM, text_regions
+from .common import discard, small_batches, staged, text_buffer
+from .suffix_anchors import GRAM, text_regions, word_symbols
 
 LENGTH = 400
+#: words of a passage that is told when it repeats: over fifty
+LEAST_WORDS = 51
 #: regions that one transform is built of, about; anchors with more regions are hot
 COLLECTION = 1000
 HOT = 1000
@@ -147,15 +150,44 @@ def _keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 _KEY = ("anchor", "region", "more")
 
 
-def _anchors(keyed: DataFrame, length: int) -> DataFrame:
+@dataclass(frozen=True)
+class Unit:
+    """What texts are strings of: bytes, or words as 64-bit hashes."""
+
+    length: int
+    gram: int
+    width: int
+    hot: int
+    grids: tuple[int, ...]
+
+    def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (data, offsets) if self.width == 1 else word_symbols(data, offsets)
+
+    def string(self, text: bytes) -> bytes:
+        """The text as the bytes of its symbols."""
+        if self.width == 1:
+            return text
+        return self.symbols(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0].tobytes()
+
+
+def of_bytes(length: int = LENGTH, hot: int | None = None) -> Unit:
+    return Unit(length, GRAM, 1, HOT if hot is None else hot, _GRIDS)
+
+
+def of_words(length: int = LEAST_WORDS) -> Unit:
+    """Words give short strings, so all their regions go by ranges."""
+    return Unit(length, min(8, length), 8, 0, (7, 1))
+
+
+def _anchors(keyed: DataFrame, unit: Unit) -> DataFrame:
     """One row for each different region of a text, with all its places there: a text that repeats
     itself without end does not send a row for every turn."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch.column("text"))
+            data, offsets = unit.symbols(*text_buffer(batch.column("text")))
             rows, parts = [], []
-            for row, part in text_regions(data, offsets, length):
+            for row, part in text_regions(data, offsets, unit.length, unit.gram):
                 rows.append(np.full(len(part["start"]), row))
                 parts.append(part)
             if not parts:
@@ -193,29 +225,34 @@ def _packed(keyed: DataFrame, *columns: str) -> DataFrame:
 _PART = "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, hot boolean, bytes binary"
 
 
-def _cut_out(needed: DataFrame, length: int) -> DataFrame:
-    """Bytes of the needed regions."""
+def _cut_out(needed: DataFrame, unit: Unit) -> DataFrame:
+    """Bytes of the symbols of the needed regions."""
+    length, width = unit.length, unit.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[tuple] = []
             for k1, k2, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "packed", "wanted")), strict=True):
-                text = unpack.decompress(packed)
-                out += [(k1, k2, w["anchor"], w["start"], w["at"], w["single"], w["hot"], text[w["start"] : w["start"] + w["windows"] + length - 1]) for w in wanted]
+                text = unit.string(unpack.decompress(packed))
+                out += [(k1, k2, w["anchor"], w["start"], w["at"], w["single"], w["hot"], text[w["start"] * width : (w["start"] + w["windows"] + length - 1) * width]) for w in wanted]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["k1", "k2", "anchor", "start", "at", "single", "hot", "bytes"])
 
     return needed.mapInArrow(run, _PART)
 
 
-def _ranges(rows: DataFrame, grid: int, length: int) -> DataFrame:
+_WHOLE, _CORE = ("whole1", "whole2"), ("core1", "core2")
+
+
+def _ranges(rows: DataFrame, grid: int, unit: Unit) -> DataFrame:
     """Each region's windows in ranges of ``grid`` neighbouring distances to the anchor.
 
     ``low`` and ``high`` bound the distances that the region has of the range, ``whole`` is the
     hash of all bytes of these windows, ``core`` that of the bytes that all windows of the
     range share, had by this region or not: regions of different cores share no window there.
     """
+    length, width = unit.length, unit.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,38 +260,41 @@ def _ranges(rows: DataFrame, grid: int, length: int) -> DataFrame:
             for k1, k2, anchor, start, at, single, low, high, text in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "anchor", "start", "at", "single", "low", "high", "bytes")), strict=True):
                 for q in range(low // grid, high // grid + 1):
                     lo, hi = max(low, q * grid), min(high, q * grid + grid - 1)
-                    core = text[at - q * grid : at - (q * grid + grid - 1) + length]
-                    digest = blake2b(text[at - hi : at - lo + length], digest_size=16).digest() + blake2b(core, digest_size=16).digest()
-                    out.append((k1, k2, anchor, start, at, single, lo, hi, q, digest[:16], digest[16:]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["k1", "k2", "anchor", "start", "at", "single", "low", "high", "q", "whole", "core"])
+                    core = text[(at - q * grid) * width : (at - (q * grid + grid - 1) + length) * width]
+                    digest = blake2b(text[(at - hi) * width : (at - lo + length) * width], digest_size=16).digest() + blake2b(core, digest_size=16).digest()
+                    out.append((k1, k2, anchor, start, at, single, lo, hi, q, digest))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32())
+            columns = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
+            digests = np.frombuffer(b"".join(r[9] for r in out), np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(np.ascontiguousarray(digests[:, i])) for i in range(4))], ["k1", "k2", "anchor", "start", "at", "single", "low", "high", "q", *_WHOLE, *_CORE])
 
-    return rows.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, low int, high int, q int, whole binary, core binary")
+    return rows.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, start bigint, at int, single boolean, low int, high int, q int, whole1 bigint, whole2 bigint, core1 bigint, core2 bigint")
 
 
-def _hot_spans(parts: DataFrame, length: int) -> DataFrame | None:
+def _hot_spans(parts: DataFrame, unit: Unit, paths: list[str]) -> DataFrame | None:
     """Spans of the single regions of hot anchors: ranges of their windows are counted, in sizes that
     shrink to one window.  A range that stands there twice is settled, and so is one whose core
     no other has; only what is left is cut finer, one of each kind.  Counts add up before their
     shuffle, so no anchor meets in one task, however many regions share it."""
-    hot = parts.where("hot")
-    rows = hot.select("k1", "k2", "anchor", "start", "at", "single", F.greatest(F.lit(0), F.col("at") + length - F.octet_length("bytes")).alias("low"), F.col("at").alias("high"), "bytes")
+    length, hot = unit.length, parts.where("hot")
+    rows = hot.select("k1", "k2", "anchor", "start", "at", "single", F.greatest(F.lit(0), F.col("at") + length - (F.octet_length("bytes") / unit.width).cast("int")).alias("low"), F.col("at").alias("high"), "bytes")
     if rows.isEmpty():
         return None
     spans = None
-    for grid in _GRIDS:
-        ranges, _ = staged(_ranges(rows, grid, length), "ranges")
-        key = ["anchor", "q", "low", "high", "whole"]
-        one = F.min(F.struct("k1", "k2", "start", "at", "single", "core")).alias("one")
-        kinds, _ = staged(ranges.groupBy(*key).agg(F.count("*").alias("n"), one), "kinds")
-        found = ranges.where("single").join(kinds.where("n > 1").select(*key), key).select("k1", "k2", (F.col("start") + F.col("at") - F.col("high")).alias("lo"), (F.col("start") + F.col("at") - F.col("low") + length).alias("hi"))
+    for grid in unit.grids:
+        ranges = _noted(_ranges(rows, grid, unit), "ranges", paths)
+        key = ["anchor", "q", "low", "high", *_WHOLE]
+        one = [F.first(c).alias(c) for c in ("k1", "k2", "start", "at", "single", *_CORE)]
+        kinds = _noted(ranges.groupBy(*key).agg(F.count("*").alias("n"), *one), "kinds", paths)
+        found = ranges.where("single").join(kinds.where("n > 1").select(*key).hint("shuffle_hash"), key).select("k1", "k2", (F.col("start") + F.col("at") - F.col("high")).alias("lo"), (F.col("start") + F.col("at") - F.col("low") + length).alias("hi"))
         spans = found if spans is None else spans.unionByName(found)
         if grid > 1:
-            met = kinds.groupBy("anchor", "q", "one.core").agg((F.count("*") > 1).alias("met")).where("met")
-            left = kinds.select("anchor", "q", "low", "high", (F.col("n") == 1).alias("once"), "one.*").join(met, ["anchor", "q", "core"], "left_semi")
+            core = ["anchor", "q", *_CORE]
+            met = kinds.groupBy(*core).agg(F.count("*").alias("kinds")).where("kinds > 1")
+            left = kinds.withColumn("once", F.col("n") == 1).join(met.hint("shuffle_hash"), core, "left_semi")
             # a kind that stands there twice goes on twice in one: its windows are found whoever else has them
             left = left.select("k1", "k2", "anchor", "start", "at", (F.col("single") & F.col("once")).alias("single"), "low", "high")
-            rows, _ = staged(left.join(hot.select("k1", "k2", "anchor", "start", "bytes"), ["k1", "k2", "anchor", "start"]), "left")
+            rows = _noted(left.join(hot.select("k1", "k2", "anchor", "start", "bytes"), ["k1", "k2", "anchor", "start"]), "left", paths)
     return spans
 
 
@@ -338,28 +378,63 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(keyed documents, spans): spans (k1, k2, lo, hi) in bytes, which overlap; together they cover
     exactly the bytes of strings of ``length`` bytes that start at two places or more."""
     keyed = _keys(docs, id_col, text_col)
-    anchors, _ = staged(_anchors(keyed, length), "anchors")
-    one = F.struct("k1", "k2", F.col("starts")[0].alias("start"), "windows", "at").alias("one")
-    classes, _ = staged(anchors.groupBy(*_KEY).agg(F.sum(F.size("starts")).alias("n"), F.min(one).alias("one")), "regions")
+    return keyed, _spans(keyed, of_bytes(length, hot), [])
+
+
+def _noted(df: DataFrame, name: str, paths: list[str]) -> DataFrame:
+    """``df`` staged, its path noted for a later removal."""
+    table, path = staged(df, name)
+    paths.append(path)
+    return table
+
+
+def _spans(keyed: DataFrame, unit: Unit, paths: list[str]) -> DataFrame:
+    length = unit.length
+    anchors = _noted(_anchors(keyed, unit), "anchors", paths)
+    # the first row of a class stands for it: all columns are taken from the same row, in hash aggregation
+    rows = anchors.select("k1", "k2", F.col("starts")[0].alias("start"), F.size("starts").alias("times"), "windows", "at", *_KEY)
+    classes = _noted(rows.groupBy(*_KEY).agg(F.sum("times").alias("n"), *(F.first(c).alias(c) for c in ("k1", "k2", "start", "windows", "at"))), "regions", paths)
     shared = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    compared = classes.join(shared, "anchor").select("one.*", "anchor", (F.col("n") == 1).alias("single"), (F.col("kinds") > hot).alias("hot"))
+    compared = classes.join(shared.hint("shuffle_hash"), "anchor").select("k1", "k2", "start", "windows", "at", "anchor", (F.col("n") == 1).alias("single"), (F.col("kinds") > unit.hot).alias("hot"))
     wanted = compared.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "windows", "at", "anchor", "single", "hot")).alias("wanted"))
     texts = _packed(keyed)
-    parts, _ = staged(_cut_out(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "packed", "wanted"), length), "parts")
+    parts = _noted(_cut_out(texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "packed", "wanted"), unit), "parts", paths)
     # equal regions have equal anchors, so their own hashes are key enough
-    repeated = anchors.select("k1", "k2", "starts", "windows", *_KEY[1:]).join(classes.where("n > 1").select(*_KEY[1:]), [*_KEY[1:]]).select("k1", "k2", F.explode("starts").alias("lo"), "windows")
-    whole = repeated.select("k1", "k2", "lo", (F.col("lo") + F.col("windows") - 1 + length).alias("hi"))
-    spans = whole.unionByName(_compared(parts, length))
-    by_range = _hot_spans(parts, length)
-    if by_range is not None:
-        spans = spans.unionByName(by_range)
-    return keyed, spans
+    repeated = anchors.select("k1", "k2", "starts", "windows", *_KEY[1:]).join(classes.where("n > 1").select(*_KEY[1:]).hint("shuffle_hash"), [*_KEY[1:]]).select("k1", "k2", F.explode("starts").alias("lo"), "windows")
+    spans = repeated.select("k1", "k2", "lo", (F.col("lo") + F.col("windows") - 1 + length).alias("hi"))
+    if unit.hot:
+        spans = spans.unionByName(_compared(parts, length))
+    by_range = _hot_spans(parts, unit, paths)
+    return spans if by_range is None else spans.unionByName(by_range)
+
+
+def _gathered(spans: DataFrame, name: str) -> DataFrame:
+    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias(name))
+
+
+def repeated_words(keyed: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """(k1, k2, words): how many words of a text stand in passages of ``least`` words or more that
+    stand somewhere else as well; texts without one have no row."""
+
+    def add(state: Column, span: Column) -> Column:
+        return F.struct(F.greatest(state["end"], span["hi"]).alias("end"), (state["n"] + F.greatest(F.lit(0).cast("bigint"), span["hi"] - F.greatest(state["end"], span["lo"]))).alias("n"))
+
+    zero = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(0).cast("bigint").alias("n"))
+    total = F.aggregate(F.array_sort("spans"), zero, add, lambda state: state["n"])
+    paths: list[str] = []
+    words, _ = staged(_gathered(_spans(keyed, of_words(least), paths), "spans").select("k1", "k2", total.alias("words")), "words")
+    discard(keyed.sparkSession, *paths)
+    return words
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, least_words: int | None) -> DataFrame:
+    # first the words: what they leave on disk is one number a text
+    words = repeated_words(_keys(docs, id_col, text_col), least_words) if least_words else None
     keyed, spans = repeated_spans(docs, id_col, text_col, length)
-    gathered = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
-    return _packed(keyed, "id").join(gathered, ["k1", "k2"], "left")
+    found = _gathered(spans, "spans")
+    if words is not None:
+        found = found.join(words, ["k1", "k2"], "full_outer")
+    return _packed(keyed, "id").join(found, ["k1", "k2"], "left")
 
 
 def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
@@ -376,12 +451,14 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
     return b"".join(parts), runs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, least_words: int | None = None) -> DataFrame:
     """One row per document row: id, n_bytes, ``kept`` (the remaining bytes), n_spans.
 
     Texts count as UTF-8; a null text is empty.  Texts shorter than ``length`` lose nothing.
     Repeated rows are occurrences of their own, so their long strings go in every one of
     them.  A cut may split a character, so what is kept is bytes.  Other columns are ignored.
+    ``least_words`` adds ``n_repeated_words``: words in passages of so many words that stand elsewhere
+    too, whatever their bytes; they are told, not removed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,16 +466,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             texts = [unpack.decompress(p) for p in batch.column("packed").to_pylist()]
             kept = [_kept(t, s) for t, s in zip(texts, batch.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([k for k, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())], ["id", "n_bytes", "kept", "n_spans"])
+            columns = [batch.column("id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([k for k, _ in kept], pa.binary()), pa.array([n for _, n in kept], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[3:]], ["id", "n_bytes", "kept", "n_spans", *more])
 
-    found = _with_spans(docs, id_col, text_col, length).select("id", "packed", "spans")
-    return found.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_bytes bigint, kept binary, n_spans bigint").withColumnRenamed("id", id_col)
+    more = ["n_repeated_words"] if least_words else []
+    found = _with_spans(docs, id_col, text_col, length, least_words).select("id", "packed", "spans", *(F.coalesce("words", F.lit(0).cast("bigint")).alias(c) for c in more))
+    return found.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, n_bytes bigint, kept binary, n_spans bigint" + "".join(f", {c} bigint" for c in more)).withColumnRenamed("id", id_col)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
     """The query's digest of ``remove_repeats``."""
-    left = remove_repeats(docs)
-    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    left = remove_repeats(docs, least_words=LEAST_WORDS)
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated_words")
 
 
-__all__ = ["GRAM", "LENGTH", "collection_bwt", "narrowed", "remove_repeats", "repeat_report", "repeated_spans", "repeated_windows", "suffix_order"]
+__all__ = ["GRAM", "LENGTH", "collection_bwt", "narrowed", "remove_repeats", "repeat_report", "repeated_spans", "repeated_words", "repeated_windows", "suffix_order"]

@@ -67,3 +67,44 @@ def test_transform_orders_all_suffixes():
 
 def test_empty(spark):
     assert S.repeat_report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def plain_words(texts, least=51):
+    import re
+
+    said = [re.findall(r"[^\x20\x09-\x0d]+", t or "") for t in texts]
+    seen = Counter(tuple(w[i : i + least]) for w in said for i in range(len(w) - least + 1))
+    out = []
+    for w in said:
+        hit = set()
+        for i in range(len(w) - least + 1):
+            if seen[tuple(w[i : i + least])] > 1:
+                hit |= set(range(i, i + least))
+        out.append(len(hit))
+    return out
+
+
+def test_words_of_repeated_passages(spark):
+    rng = random.Random(9)
+    texts = corpus(5)
+    short = " ".join(rng.choice("abcdef") for _ in range(55))
+    for n in (50, 51, 55):
+        part = " ".join(short.split()[:n])
+        texts += [f"one {n} {part} x", f"{part}\tother {n}"]
+    texts += ["a " * 60, " ".join(str(i) for i in range(51)), " ".join(str(i) for i in range(50)), " ".join(str(i) for i in range(52))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_repeated_words"] for r in S.repeat_report(docs).collect()}
+    expected = plain_words(texts)
+    assert sum(n > 0 for n in expected) > 10 and 0 in expected
+    assert [got[i] for i in range(len(texts))] == expected
+
+
+def test_one_passage_in_very_many_texts(spark):
+    """A hot anchor: hundreds of different texts round one passage, and some that share more of it."""
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(90))
+    texts = [f"{' '.join(word() for _ in range(rng.randint(0, 30)))} {passage[rng.randint(0, 30):len(passage) - rng.randint(0, 90)]} {' '.join(word() for _ in range(20))}" for _ in range(1300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in S.repeat_report(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
