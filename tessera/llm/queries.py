@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
+from . import bpe, chat, decontaminate, line_dedup, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -64,10 +68,12 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 ORACLES = {
     "op1_secret_scan": secret_scan.ORACLE,
     "op6_chat": chat.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
