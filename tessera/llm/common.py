@@ -130,3 +130,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def word_array(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words of lower-cased bytes as a binary array, and the row of each; ``is_word`` flags byte values."""
+    inside = is_word[data]
+    starts, ends = word_bounds(inside, offsets)
+    places = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=places[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(offsets, starts, "right") - 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, line_dedup, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
+from . import bpe, chat, decontaminate, lexical_search, line_dedup, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
     "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES = {
@@ -76,4 +81,5 @@ ORACLES = {
     "op6_chat": chat.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
