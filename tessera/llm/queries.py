@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, lexical_search, line_dedup, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
+from . import bpe, chat, decontaminate, divergence, lexical_search, line_dedup, pseudonyms, quality, secret_scan, simhash, suffix_dedup, toxicity, vector_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(_table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_decontamination": op10_decontamination,
+    "op11_source_divergence": op11_source_divergence,
     "op12_line_dedup": op12_line_dedup,
     "op13_lexical_search": op13_lexical_search,
 }
@@ -80,6 +85,7 @@ ORACLES = {
     "op1_secret_scan": secret_scan.ORACLE,
     "op6_chat": chat.ORACLE,
     "op10_decontamination": decontaminate.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
     "op13_lexical_search": lexical_search.ORACLE,
 }
