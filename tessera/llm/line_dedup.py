@@ -22,22 +22,23 @@ _BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _digest(text: Column) -> Column:
-    """The first 128 bits of SHA-256."""
-    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+    """The first 128 bits of SHA-256; empty for a null.  Never null, or else each join would
+    compute it once more to filter nulls."""
+    return F.coalesce(F.substring(F.unhex(F.sha2(text, 256)), 1, 16), F.lit(b""))
 
 
-def line_key(line: Column) -> Column:
-    """The line without blanks at both ends, only A-Z in lower case."""
-    bare = F.btrim(line, F.lit(_BLANKS))
-    ascii_only = F.octet_length(bare) == F.length(bare)
-    return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+def lower_ascii(text: Column) -> Column:
+    """The text with only A-Z in lower case."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def line_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = LEAST_LENGTH) -> DataFrame:
     """(id, own: digest of the text, at: place of the line, h: hash of its key) of every line
     whose key has ``least_length`` code points or more."""
-    lines = docs.select(F.col(id_col).alias("id"), _digest(F.col(text_col)).alias("own"), F.posexplode(F.split(text_col, "\n")).alias("at", "line"))
-    keyed = lines.select("id", "own", "at", line_key(F.col("line")).alias("key")).where(F.length("key") >= least_length)
+    lowered = docs.select(F.col(id_col).alias("id"), _digest(F.col(text_col)).alias("own"), lower_ascii(F.col(text_col)).alias("text"))
+    lines = lowered.select("id", "own", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    keyed = lines.select("id", "own", "at", F.btrim("line", F.lit(_BLANKS)).alias("key")).where(F.length("key") >= least_length)
     return keyed.select("id", "own", "at", _digest(F.col("key")).alias("h"))
 
 
