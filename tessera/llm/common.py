@@ -41,7 +41,7 @@ def work_path(spark: SparkSession, name: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def staged(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, and
     later reads survive the loss of any executor.  Returns the table and its path.
 
@@ -50,7 +50,7 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path, before = work_path(spark, name), spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path

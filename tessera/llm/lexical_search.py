@@ -29,11 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from .common import LOWER, discard, small_batches, staged, text_buffer, word_array
+from .common import LOWER, blocks, discard, small_batches, staged, text_buffer, word_array
 
 BEST = 20
 SLICE_ITEMS = 2_000
 SLICE_BYTES = 4 << 20
+#: a block ends at so many documents or postings; a document is never cut
+BLOCK_DOCS = 2_048
+BLOCK_POSTINGS = 200_000
+#: rows of blocks are large: few of them are held before they are written, or read at once
+_SMALL_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
 _IS_TERM = np.zeros(256, bool)
 _IS_TERM[48:58] = _IS_TERM[97:123] = _IS_TERM[128:] = True
 
@@ -216,6 +221,13 @@ class _Block:
         return live, total[live], n_scored
 
 
+def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    sizes = batch.column("terms").value_lengths().to_numpy()
+    for a in range(0, batch.num_rows, BLOCK_DOCS):
+        for lo, hi in blocks(sizes[a : a + BLOCK_DOCS], BLOCK_POSTINGS):
+            yield batch.slice(a + lo, hi - lo)
+
+
 def _index(forward: DataFrame, known, k: int) -> DataFrame:
     """One row per block: ids of its documents, its lists, and seeds (item, score) that are
     among the k best of the task so far."""
@@ -225,7 +237,7 @@ def _index(forward: DataFrame, known, k: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = known.value
         held = [np.zeros(0, np.int64)] * len(own.items)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _cut(whole)):
             terms, tfs = batch.column("terms"), batch.column("tfs")
             block = _Block.build(own, batch.column("n").to_numpy(), terms.value_lengths().to_numpy(), terms.flatten().to_numpy(), tfs.flatten().to_numpy().astype(np.int64))
             items, scores = [], []
@@ -305,7 +317,7 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         df = {r["t"]: r["n"] for r in forward.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()}
         own.weigh(n_documents, n_terms, df)
         known = sc.broadcast(own)
-        index, _ = staged(_index(forward, known, k), "blocks")
+        index, _ = staged(_index(forward, known, k), "blocks", **_SMALL_GROUPS)
         discard(spark, path)
         start = sc.broadcast(_thresholds(index, len(own.items), k))
         best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc"))
