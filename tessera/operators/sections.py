@@ -48,8 +48,7 @@ def controls(nodes: DataFrame) -> DataFrame:
 
 def without_controls(nodes: DataFrame) -> DataFrame:
     """The node table without the subtrees of controls."""
-    gone = tree.within(tree.outermost(controls(nodes)), nodes.select("item_id", "pre"), self_too=True).select("item_id", "pre")
-    return nodes.join(gone, ["item_id", "pre"], "left_anti")
+    return tree.in_any(controls(nodes), nodes, self_too=True, inside=False)
 
 
 def prefix_before(nodes: DataFrame, wrappers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,9 +1,11 @@
-"""Selections over node tables.  Every join is an equi-join on the page with an interval condition."""
+"""Selections over node tables.  Containment is a sweep over the nodes in document order; a join with an interval condition is
+used only where an item has one outer node at most."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.functions.scalars import strip
 from tessera.sources.html import VOID
@@ -13,23 +15,65 @@ def has_class(name: str) -> Column:
     return F.array_contains("classes", name)
 
 
+def _running(*keys: str):
+    return Window.partitionBy(*keys).orderBy("_at", "_phase").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _swept(outer: DataFrame, inner: DataFrame, self_too: bool) -> DataFrame:
+    """Inner rows and the opens of the outer ones in document order, with ``_depth``: how many outer
+    nodes are open there, an opening one included.
+
+    The subtrees of a page are nested or apart, so one running count of opens and closes tells
+    the depth; no inner row meets an outer node that it does not stand in.
+    """
+    first, second = (0, 1) if self_too else (1, 0)
+    none = F.lit(None).cast("int")
+    mark = lambda at, phase, step, open_at: F.struct(F.col(at).alias("_at"), F.lit(phase).alias("_phase"), F.lit(step).alias("_step"), open_at.alias("_outer"))
+    marks = outer.select("item_id", F.explode(F.array(mark("pre", first, 1, F.col("pre")), mark("last", 2, -1, none))).alias("m")).select("item_id", "m.*")
+    rows = inner.withColumns({"_at": F.col("pre"), "_phase": F.lit(second), "_step": F.lit(0), "_outer": none})
+    events = rows.unionByName(marks, allowMissingColumns=True)
+    return events.withColumn("_depth", F.sum("_step").over(_running("item_id"))).where("_step >= 0")
+
+
 def within(outer: DataFrame, inner: DataFrame, self_too: bool = False) -> DataFrame:
-    """(item_id, outer pre, inner.*) for inner nodes in the subtrees of outer ones."""
+    """(item_id, outer pre, inner.*) for inner nodes in the subtrees of outer ones.
+
+    Two passes in document order: the first tells how many outer nodes are open at an inner one,
+    the second finds which they are, one for each depth.  Rows are sorted, never compared in
+    pairs, and there are as many as the answer has.
+    """
+    swept = _swept(outer, inner, self_too)
+    levels = F.when(F.col("_step") == 1, F.array("_depth")).when(F.col("_depth") > 0, F.sequence(F.lit(1).cast("bigint"), "_depth"))
+    spread = swept.withColumn("_level", F.explode(levels))
+    found = spread.withColumn("outer", F.last("_outer", ignorenulls=True).over(_running("item_id", "_level"))).where("_step = 0")
+    return found.select(*inner.columns, "outer")
+
+
+def in_any(outer: DataFrame, inner: DataFrame, self_too: bool = False, inside: bool = True) -> DataFrame:
+    """Inner rows that stand in at least one of the outer nodes, or in none."""
+    kept = _swept(outer, inner, self_too).where("_step = 0").where(F.col("_depth") > 0 if inside else F.col("_depth") == 0)
+    return kept.select(*inner.columns)
+
+
+def within_one(outer: DataFrame, inner: DataFrame, self_too: bool = False) -> DataFrame:
+    """``within`` for outer nodes of which an item has one at most, so that a plain join is linear."""
     o = outer.select("item_id", F.col("pre").alias("outer"), F.col("last").alias("outer_last"))
     low = F.col("pre") >= F.col("outer") if self_too else F.col("pre") > F.col("outer")
     return inner.join(o, "item_id").where(low & (F.col("pre") <= F.col("outer_last"))).drop("outer_last")
 
 
 def outermost(nodes: DataFrame) -> DataFrame:
-    """Those of the nodes that are in no other one's subtree."""
-    a, b = nodes.alias("a"), nodes.select("item_id", "pre", "last").alias("b")
-    inside = (F.col("a.item_id") == F.col("b.item_id")) & (F.col("a.pre") > F.col("b.pre")) & (F.col("a.pre") <= F.col("b.last"))
-    return a.join(b, inside, "left_anti")
+    """Those of the nodes that are in no other one's subtree: no earlier one reaches them."""
+    before = Window.partitionBy("item_id").orderBy("pre").rangeBetween(Window.unboundedPreceding, -1)
+    reach = nodes.withColumn("_reach", F.max("last").over(before))
+    return reach.where("_reach is null or _reach < pre").drop("_reach")
 
 
 def nearest_ancestor(nodes: DataFrame, ancestors: DataFrame) -> DataFrame:
     """(item_id, pre, ancestor): the closest of ``ancestors`` around each node, itself included."""
-    return within(ancestors, nodes.select("item_id", "pre"), self_too=True).groupBy("item_id", "pre").agg(F.max("outer").alias("ancestor"))
+    swept = _swept(ancestors, nodes.select("item_id", "pre"), True).where("_depth > 0")
+    found = swept.withColumn("ancestor", F.last("_outer", ignorenulls=True).over(_running("item_id", "_depth"))).where("_step = 0")
+    return found.select("item_id", "pre", "ancestor").distinct()
 
 
 def exactly_one(nodes: DataFrame, items: DataFrame, what: str) -> DataFrame:
@@ -63,6 +107,30 @@ def subtree_html(roots: DataFrame, nodes: DataFrame, removed: DataFrame | None =
     """(item_id, outer, html): each root's markup without the subtrees of ``removed``."""
     kept = nodes
     if removed is not None:
-        gone = within(removed, nodes.select("item_id", "pre"), self_too=True).select("item_id", "pre").distinct()
-        kept = nodes.join(gone, ["item_id", "pre"], "left_anti")
+        kept = in_any(removed, nodes, self_too=True, inside=False)
     return within(roots, tokens(kept), self_too=True).groupBy("item_id", "outer").agg(F.expr("listagg(token, '') within group (order by at)").alias("html"))
+
+
+def fragments(bodies: DataFrame, units: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(item_id, body, at, units, html): the markup of each body, cut where a unit opens or closes.
+
+    ``bodies`` has (item_id, pre, last, around: its own tags belong to it), ``units`` (item_id,
+    pre, last).  Each token is looked at once; whoever leaves units out puts fragments together
+    again, those whose ``units`` (all that stand around them, in the body) are not left out.
+    """
+    roots = bodies.select("item_id", "pre", "last", "around").distinct()
+    cut = units.select("item_id", "pre", F.lit(1).alias("cut")).distinct()
+    inside = within(roots, tokens(nodes), self_too=True).withColumnRenamed("outer", "body")
+    own = roots.select("item_id", F.col("pre").alias("body"), "around")
+    inside = inside.join(own, ["item_id", "body"]).where("around or pre != body").join(cut, ["item_id", "pre"], "left")
+    order = Window.partitionBy("item_id", "body").orderBy("at")
+    opens = F.when(F.col("cut").isNotNull() & (F.col("at.close") == 0), 1).otherwise(0)
+    closes = F.when(F.col("cut").isNotNull() & ((F.col("at.close") == 1) | F.endswith("token", F.lit("/>"))), 1).otherwise(0)
+    # a closing token, or the only one of a void element, is the last of its fragment
+    number = F.sum(opens).over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(F.sum(closes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = inside.withColumn("number", number).groupBy("item_id", "body", "number").agg(F.expr("listagg(token, '') within group (order by at)").alias("html"), F.min("at").alias("at"), F.min_by("pre", "at").alias("pre"))
+    around = within(units.select("item_id", "pre", "last").distinct(), pieces.select("item_id", "body", "number", "pre"), self_too=True)
+    # a unit around the body itself does not count as one of its units
+    own_units = around.join(own, ["item_id", "body"]).where("outer > body or (around and outer = body)").groupBy("item_id", "body", "number").agg(F.collect_set("outer").alias("units"))
+    none = F.array().cast("array<int>")
+    return pieces.join(own_units, ["item_id", "body", "number"], "left").select("item_id", "body", "at", F.coalesce("units", none).alias("units"), "html")

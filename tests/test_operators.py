@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import batch, chains, changes, controls, exclusions, review, selection
+from tessera.operators import batch, chains, changes, controls, exclusions, review, selection, tree
 from tessera.sources import commit
+from tessera.sources.html import shred
 from tessera.streaming.snapshots import watch
 
 
@@ -153,3 +156,72 @@ def test_stream_of_snapshots(spark, tmp_path):
     got = {(r["version"], r["page_id"], r["change"]) for r in spark.read.parquet(f"{tmp_path}/changes").collect()}
     assert got == {(0, 1, "added"), (0, 2, "added"), (1, 2, "modified"), (1, 3, "added")}
     assert spark.read.parquet(f"{tmp_path}/changes").where(F.col("version") == 1).count() == 2
+
+
+def _trees(seed=3, items=6):
+    """Random trees as (item_id, pre, last) with repeated shapes: deep chains, wide rows, single nodes."""
+    rng = random.Random(seed)
+    out = []
+    for item in range(items):
+        last, open_ = [], []
+        for pre in range(rng.choice([1, 5, 60])):
+            while open_ and rng.random() < 0.4:
+                last[open_.pop()] = pre - 1
+            last.append(None)
+            open_.append(pre)
+        for pre in open_:
+            last[pre] = len(last) - 1
+        out += [(item, pre, end) for pre, end in enumerate(last)]
+    return out
+
+
+@pytest.mark.parametrize("self_too", [False, True])
+def test_sweeps_equal_comparing_all_pairs(spark, self_too):
+    rng = random.Random(8)
+    rows = _trees()
+    outer = [r for r in rows if rng.random() < 0.4]
+    inner = [r for r in rows if rng.random() < 0.7]
+    inside = lambda o, i: o[0] == i[0] and (o[1] <= i[1] if self_too else o[1] < i[1]) and i[1] <= o[2]
+    o, i = (spark.createDataFrame(x, "item_id long, pre int, last int") for x in (outer, inner))
+    pairs = sorted((b[0], b[1], a[1]) for a in outer for b in inner if inside(a, b))
+    named = i.withColumn("payload", F.concat_ws("-", "item_id", "pre"))
+    found = tree.within(o, named, self_too).collect()
+    assert sorted((r["item_id"], r["pre"], r["outer"]) for r in found) == pairs and all(r["payload"] == f"{r['item_id']}-{r['pre']}" for r in found)
+    some = {p[:2] for p in pairs}
+    assert sorted((r["item_id"], r["pre"]) for r in tree.in_any(o, i, self_too).collect()) == sorted(some)
+    assert {(r["item_id"], r["pre"]) for r in tree.in_any(o, i, self_too, inside=False).collect()} == {x[:2] for x in inner} - some
+    if self_too:
+        near = {}
+        for item, pre, at in pairs:
+            near[item, pre] = max(near.get((item, pre), -1), at)
+        assert {(r["item_id"], r["pre"]): r["ancestor"] for r in tree.nearest_ancestor(i, o).collect()} == near
+    else:
+        top = sorted(b for b in outer if not any(inside(a, b) for a in outer))
+        assert sorted(map(tuple, tree.outermost(o).collect())) == top
+
+
+def test_sweep_makes_no_more_rows_than_the_answer(spark):
+    """No join stands in the plan; a wide page with a thousand roots gives a row for each contained node."""
+    roots = [(1, 3 * k, 3 * k + 2) for k in range(1000)]
+    o = spark.createDataFrame(roots, "item_id long, pre int, last int")
+    i = spark.range(3000).selectExpr("1L as item_id", "cast(id as int) as pre")
+    found = tree.within(o, i)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 2000
+
+
+def test_fragments_put_together_are_the_page(spark):
+    """Cut at units, nested and void ones too: all fragments give the body, without a unit the rest."""
+    html = '<html><body><div id="b">a<div id="u1">b<table id="u2"><tr><td>c</td></tr></table>d<img id="v"/>e</div>f<p id="u3"></p>g</div>h</body></html>'
+    nodes = shred(spark.createDataFrame([(1, html)], "page_id long, html string")).cache()
+    at = {r["id"]: r for r in nodes.where("id is not null").collect()}
+    units = nodes.where("id in ('u1', 'u2', 'u3', 'v')").select("item_id", "pre", "last")
+    body = nodes.where("id = 'b'").select("item_id", "pre", "last")
+    for around, head, tail in ((True, '<div id="b">', "</div>"), (False, "", "")):
+        pieces = sorted(tree.fragments(body.withColumn("around", F.lit(around)), units, nodes).collect(), key=lambda r: r["at"])
+        without = lambda *ids: "".join(r["html"] for r in pieces if not {at[i]["pre"] for i in ids} & set(r["units"]))
+        whole = 'a<div id="u1">b<table id="u2"><tr><td>c</td></tr></table>d<img id="v"/>e</div>f<p id="u3"></p>g'
+        assert without() == head + whole + tail
+        assert without("u2") == head + 'a<div id="u1">bd<img id="v"/>e</div>f<p id="u3"></p>g' + tail
+        assert without("v", "u3") == head + 'a<div id="u1">b<table id="u2"><tr><td>c</td></tr></table>de</div>fg' + tail
+        assert without("u1") == head + 'af<p id="u3"></p>g' + tail
