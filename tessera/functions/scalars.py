@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: white space as Unicode counts it, spelled out, since regex dialects differ on \s
+_NO_BLANK = r"\t-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _TICK = rf"""(?i)<i(?:{SPACE}[^>]*)?{SPACE}class{SPACE}*={SPACE}*(?:"(?:[^"]*{SPACE})?icon-tick(?:{SPACE}[^"]*)?"|'(?:[^']*{SPACE})?icon-tick(?:{SPACE}[^']*)?')[^>]*>{SPACE}*</i>"""
 _READABLE = "^[a-z0-9]+(-[a-z0-9]+)*$"
@@ -37,12 +40,34 @@ def root_images(html: Column) -> Column:
     return F.regexp_replace(html, r"(?<!\{base_url\})/Images/", "{base_url}/Images/")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def collapse_runs(html: Column) -> Column:
+    """White-space runs to one blank; single blanks, most of them, are no match."""
+    return F.regexp_replace(html, f"[{_NO_BLANK}]{SPACE}*| {SPACE}+", " ")
+
+
+def _finish(html: Column) -> Column:
+    """The rules behind the first, where blanks stand alone and are the only white space.  A rule
+    that scans slowly is asked for only where its literal part occurs."""
+    bare = F.regexp_replace(F.regexp_replace(html, "<div> *</div>", ""), "> +<", "><")
+    ticked = let(bare, lambda h: F.when(F.contains(F.lower(h), F.lit("icon-tick")), tick_icons(h)).otherwise(h))
+    sourced = let(ticked, lambda h: F.when(F.contains(F.lower(h), F.lit("src")), root_sources(h)).otherwise(h))
+    return F.trim(let(sourced, lambda h: F.when(F.contains(h, F.lit("/Images/")), root_images(h)).otherwise(h)))
+
+
 def normalize_html(html: Column) -> Column:
     """One pass of each rule in order; null stays null.  Nested empty divs lose one level a pass."""
-    out = F.regexp_replace(html, f"{SPACE}+", " ")
-    out = F.regexp_replace(out, f"<div>{SPACE}*</div>", "")
-    out = F.regexp_replace(out, f">{SPACE}+<", "><")
-    return strip(root_images(root_sources(tick_icons(out))))
+    return _finish(collapse_runs(html))
+
+
+def normalize_joined(html: Column) -> Column:
+    """``normalize_html`` of a text joined from parts of ``collapse_runs`` or of ``normalize_html``: runs of white space can only
+    be blanks, where parts meet."""
+    return _finish(let(html, lambda h: F.when(F.contains(h, F.lit("  ")), F.regexp_replace(h, " {2,}", " ")).otherwise(h)))
 
 
 def fragment_id(href: Column) -> Column:

@@ -40,10 +40,13 @@ def of_classes(sections: DataFrame, nodes: DataFrame, wanted: list[str]) -> Data
     return sections.join(chosen, ["item_id", "pre"], "left_semi")
 
 
+def is_control() -> Column:
+    return F.col("tag").isin(*UI_TAGS) | F.col("id").isin(*UI_IDS) | F.arrays_overlap("classes", F.array(*map(F.lit, UI_CLASSES)))
+
+
 def controls(nodes: DataFrame) -> DataFrame:
     """(item_id, pre, last) of elements that are controls."""
-    marked = F.col("tag").isin(*UI_TAGS) | F.col("id").isin(*UI_IDS) | F.arrays_overlap("classes", F.array(*map(F.lit, UI_CLASSES)))
-    return nodes.where("kind = 'element'").where(marked).select("item_id", "pre", "last")
+    return nodes.where("kind = 'element'").where(is_control()).select("item_id", "pre", "last")
 
 
 def without_controls(nodes: DataFrame) -> DataFrame:

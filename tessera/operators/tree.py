@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.scalars import strip
+from tessera.functions.scalars import collapse_runs, strip
 from tessera.sources.html import VOID
 
 
@@ -93,13 +93,14 @@ def _escaped(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def tokens(nodes: DataFrame) -> DataFrame:
-    """(item_id, pre, at, token): opening and closing tokens; ordered by ``at`` they are the page."""
+def tokens(nodes: DataFrame, *also: str) -> DataFrame:
+    """(item_id, pre, at, token): opening and closing tokens; ordered by ``at`` they are the page.
+    ``also`` names further columns of the nodes that both tokens carry."""
     attrs = F.array_join(F.transform(F.map_entries("attrs"), lambda e: F.concat(F.lit(" "), e["key"], F.lit('="'), F.replace(F.replace(e["value"], F.lit("&"), F.lit("&amp;")), F.lit('"'), F.lit("&quot;")), F.lit('"'))), "")
     void = F.col("tag").isin(*VOID)
     opening = F.when(F.col("kind") == "text", _escaped(F.col("text"))).when(F.col("kind") == "comment", F.concat(F.lit("<!--"), F.col("text"), F.lit("-->"))).otherwise(F.concat(F.lit("<"), F.col("tag"), attrs, F.when(void, F.lit("/>")).otherwise(F.lit(">"))))
-    first = nodes.where("kind != 'error'").select("item_id", "pre", F.struct(F.col("pre").alias("p"), F.lit(0).alias("close"), F.lit(0).alias("inner")).alias("at"), opening.alias("token"))
-    last = nodes.where("kind = 'element'").where(~void).select("item_id", "pre", F.struct(F.col("last").alias("p"), F.lit(1).alias("close"), (-F.col("pre")).alias("inner")).alias("at"), F.concat(F.lit("</"), F.col("tag"), F.lit(">")).alias("token"))
+    first = nodes.where("kind != 'error'").select("item_id", "pre", F.struct(F.col("pre").alias("p"), F.lit(0).alias("close"), F.lit(0).alias("inner")).alias("at"), opening.alias("token"), *also)
+    last = nodes.where("kind = 'element'").where(~void).select("item_id", "pre", F.struct(F.col("last").alias("p"), F.lit(1).alias("close"), (-F.col("pre")).alias("inner")).alias("at"), F.concat(F.lit("</"), F.col("tag"), F.lit(">")).alias("token"), *also)
     return first.unionByName(last)
 
 
@@ -112,7 +113,8 @@ def subtree_html(roots: DataFrame, nodes: DataFrame, removed: DataFrame | None =
 
 
 def fragments(bodies: DataFrame, units: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(item_id, body, at, units, html): the markup of each body, cut where a unit opens or closes.
+    """(item_id, body, at, units, html): the markup of each body, cut where a unit opens or closes, with
+    runs of white space collapsed.
 
     ``bodies`` has (item_id, pre, last, around: its own tags belong to it), ``units`` (item_id,
     pre, last).  Each token is looked at once; whoever leaves units out puts fragments together
@@ -128,7 +130,7 @@ def fragments(bodies: DataFrame, units: DataFrame, nodes: DataFrame) -> DataFram
     closes = F.when(F.col("cut").isNotNull() & ((F.col("at.close") == 1) | F.endswith("token", F.lit("/>"))), 1).otherwise(0)
     # a closing token, or the only one of a void element, is the last of its fragment
     number = F.sum(opens).over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce(F.sum(closes).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pieces = inside.withColumn("number", number).groupBy("item_id", "body", "number").agg(F.expr("listagg(token, '') within group (order by at)").alias("html"), F.min("at").alias("at"), F.min_by("pre", "at").alias("pre"))
+    pieces = inside.withColumn("number", number).groupBy("item_id", "body", "number").agg(collapse_runs(F.expr("listagg(token, '') within group (order by at)")).alias("html"), F.min("at").alias("at"), F.min_by("pre", "at").alias("pre"))
     around = within(units.select("item_id", "pre", "last").distinct(), pieces.select("item_id", "body", "number", "pre"), self_too=True)
     # a unit around the body itself does not count as one of its units
     own_units = around.join(own, ["item_id", "body"]).where("outer > body or (around and outer = body)").groupBy("item_id", "body", "number").agg(F.collect_set("outer").alias("units"))

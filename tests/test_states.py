@@ -68,3 +68,39 @@ def test_filter_definitions(spark):
     got = json.loads(states.filters_json(options, states.category_tabs(table, panels)).first()["filters"])["filterDefinitions"]
     assert [(d["filterKey"], d["displayName"], [o["label"] for o in d["options"]]) for d in got] == [("software", "software-kind", ["Windows", "Linux"]), ("region", "region", ["East", "North"]), ("category", "Category", ["All", "One", "Two"])]
     assert [o.get("isDefault") for o in got[0]["options"]] == [True, None]
+
+
+def test_second_reading_equals_the_states(spark):
+    """Nested units, shared fragments before and behind (one panel only), text beside leaves, a unit around a leaf's own table,
+    and empty leaves: contents and shared contents of both readings are the same."""
+    from pyspark.sql import functions as F
+
+    from tessera.functions.scalars import normalize_joined
+    from tessera.plans import independent
+
+    rich = PANELS.replace('<p>shared <b>x</b></p>', 'loose <p>shared <b>x</b></p><script>s()</script><p> </p><div class="hide-info">h</div><div class="scroll-table"><table id="t5"><tr><td id="t6">c</td></tr></table></div><img id="t7" src="/a.png"/>')
+    one = '<div class="tab-content"><div class="tab-panel" id="tabContent1"><ul class="os-tab-nav category-tabs hidden-xs hidden-sm"><li><a data-href="#c1">One</a></li><li><a data-href="#c2">Two</a></li></ul><div><p>before</p><div id="c1">a<div class="scroll-table"><table id="t1"></table><table id="t2"></table></div></div><p>between</p><div id="c2"><table data-table-id="t1"></table>b</div><p>behind <table id="t3"></table></p>tail</div></div></div>'
+    pages = nodes(spark, page(SOFTWARE, REGIONS), page(SOFTWARE, REGIONS, rich), page(SOFTWARE[:1], REGIONS, one), page(SOFTWARE[:1], REGIONS, one, hidden=True))
+    rules = spark.createDataFrame([("tabContent1-value", "east", ["t1", "t5", "unknown"]), ("tabContent1-value", "north", ["t6", "t3", "t7"]), ("tabContent2-value", "north", ["t1"])], "os string, region string, table_ids array<string>")
+    found, errors = states.complex_states(pages, rules)
+    assert errors.collect() == []
+    lookups = pages.select("item_id").distinct().join(rules.unionByName(spark.createDataFrame([("tabContent2-value", "east", [])], rules.schema)), F.lit(True))
+    second, wrong = independent.second_complex(pages, lookups)
+    assert wrong.collect() == []
+    value = lambda key: F.get(F.filter("criteria", lambda c: c["filterKey"] == key), F.lit(0))["matchValues"]
+    first = found.select("item_id", F.coalesce(value("software"), F.lit("tabContent1-value")).alias("os"), value("region").alias("region"), value("category").alias("target"), normalize_joined(F.col("content")).alias("content"), normalize_joined(F.col("shared")).alias("shared"))
+    names = ["item_id", "os", "region", "target", "content", "shared"]
+    a, b = (sorted(map(str, map(tuple, df.select(*names).collect()))) for df in (first, second))
+    assert a == b and len(a) == 6 + 6 + 4 + 4
+    shared = {(r["item_id"], r["region"]): r["shared"] for r in second.where("os = 'tabContent1-value'").collect()}
+    assert shared[2, "east"] == "<p>before</p><p>behind <table id=\"t3\"></table></p>" and shared[2, "north"] == "<p>before</p><p>behind </p>"
+    assert shared[1, "east"] == "<p>shared <b>x</b></p>"
+
+
+def test_second_reading_of_a_target_that_two_elements_have(spark):
+    from tessera.plans import independent
+
+    twice = PANELS.replace('<table id="t2"></table></div>', '<p id="c2">again</p></div>')
+    pages = nodes(spark, page(SOFTWARE, REGIONS, twice))
+    lookups = spark.createDataFrame([(0, "tabContent1-value", "east", [])], "item_id long, os string, region string, table_ids array<string>")
+    assert [r["item_id"] for r in independent.second_complex(pages, lookups)[1].collect()] == [0]
