@@ -9,6 +9,7 @@ logistic function of the weights of its matched clauses by kind.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -151,11 +152,14 @@ def _shapes(text: str) -> set[str]:
     return words | {f"{w[:n]}*" for w in words for n in _PREFIXES if len(w) > n}
 
 
+_MINIMA = 8
+
+
 def _arcs(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Shapes that stand in far more toxic documents than chance lets them.
 
-    Copies would count one text many times, so of documents with the same least word hash one
-    stands for all.  Counts are made in the tasks, summed and judged by a grouped aggregation;
+    Copies would count one text many times, so of documents with the same ``_MINIMA`` least word hashes one
+    stands for all; texts that differ by more than a few words all count.  Counts are made in the tasks, summed and judged by a grouped aggregation;
     every shape that passes is an arc.  Each stands in three toxic documents at least, so the
     bound on the labelled documents bounds the arcs too.
     """
@@ -164,8 +168,9 @@ def _arcs(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         import xxhash
 
         for batch in batches:
-            least = [min((xxhash.xxh64_intdigest(w) >> 1 for w in set(_WORD.findall(t.lower()))), default=0) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), *batch.columns], ["least", *batch.schema.names])
+            least = [heapq.nsmallest(_MINIMA, {xxhash.xxh64_intdigest(w) for w in _WORD.findall(t.lower())}) for t in batch.column("text").to_pylist()]
+            sketch = [xxhash.xxh64_intdigest(repr(x)) >> 1 for x in least]
+            yield pa.RecordBatch.from_arrays([pa.array(sketch, pa.int64()), *batch.columns], ["sketch", *batch.schema.names])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = {0: Counter(), 1: Counter()}
@@ -177,7 +182,7 @@ def _arcs(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         yield pa.RecordBatch.from_arrays([pa.array(shapes, pa.string()), pa.array([by[1][s] for s in shapes], pa.int64()), pa.array([by[0][s] for s in shapes], pa.int64())], ["shape", "toxic", "clean"])
 
     id_kind = dict(rows.dtypes)["id"]
-    apart = rows.mapInArrow(keyed, f"least bigint, id {id_kind}, text string, y int").groupBy("least", "y").agg(F.min_by("text", "id").alias("text")).select("text", "y")
+    apart = rows.mapInArrow(keyed, f"sketch bigint, id {id_kind}, text string, y int").groupBy("sketch", "y").agg(F.min_by("text", "id").alias("text")).select("text", "y")
     counts = apart.mapInArrow(counted, "shape string, toxic bigint, clean bigint").groupBy("shape").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counts, _ = staged(counts, "shapes")
     whole = counts.where("shape = ''").first()
