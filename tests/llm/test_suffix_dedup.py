@@ -93,7 +93,7 @@ def test_words_of_repeated_passages(spark):
         texts += [f"one {n} {part} x", f"{part}\tother {n}"]
     texts += ["a " * 60, " ".join(str(i) for i in range(51)), " ".join(str(i) for i in range(50)), " ".join(str(i) for i in range(52))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r["n_repeated_words"] for r in S.repeat_report(docs).collect()}
+    got = {r["doc_id"]: r["n_repeated_words"] for r in S.remove_repeats(docs, least_words=S.LEAST_WORDS).collect()}
     expected = plain_words(texts)
     assert sum(n > 0 for n in expected) > 10 and 0 in expected
     assert [got[i] for i in range(len(texts))] == expected
