@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tessera.functions import contract
 from tessera.operators import tree
 from tessera.plans import extract, verify
-from tessera.plans.run import run_simple
-from tessera.sources.commit import staged
+from tessera.plans.run import run_or_resume, run_simple
+from tessera.sources.commit import shared_path, staged
 from tessera.sources.html import shred
 from tessera.streaming.snapshots import event_windows as _windows
 
@@ -127,8 +127,40 @@ def event_windows(spark, d):
 @query("""SELECT CAST(page_id AS BIGINT) AS item_id, CASE WHEN page_id % 10 < 3 THEN 'blocked' ELSE 'passed' END AS status, CASE WHEN page_id % 10 = 0 THEN 'input' WHEN page_id % 10 < 3 THEN 'extraction' ELSE '' END AS reason FROM pages""")
 def batch_of_simple_pages(spark, d):
     """A batch from pages to accounts: some pages are missing, some have no body, some break the contract."""
+    return run_simple(*_simple_scope(spark, d)).items.select("item_id", "status", "reason")
+
+
+def _simple_scope(spark, d):
     pages = _pricing_pages(spark, d).withColumnRenamed("page_id", "item_id")
     digit = F.col("item_id") % 10
     html = F.when(digit == 1, F.replace("html", F.lit("technical-azure-selector"), F.lit("other"))).when(digit == 2, F.regexp_replace("html", "<title>[^<]*</title>", "<title> </title>")).otherwise(F.col("html"))
     items = pages.select("item_id", F.concat(F.lit("p"), F.col("item_id").cast("string")).alias("product_key"), F.lit("en-us").alias("language"), F.concat(F.lit("page-"), F.col("item_id").cast("string")).alias("slug"))
-    return run_simple(items, pages.where(digit != 0).select("item_id", html.alias("html"))).items.select("item_id", "status", "reason")
+    return items, pages.where(digit != 0).select("item_id", html.alias("html"))
+
+
+class _Killed(Exception):
+    """What stands for the loss of the driver between two stages."""
+
+
+@query("""SELECT item_id, status, reason, attempts FROM (SELECT CAST(page_id AS BIGINT) AS item_id, CASE WHEN page_id % 10 < 3 THEN 'blocked' ELSE 'passed' END AS status, CASE WHEN page_id % 10 = 0 THEN 'input' WHEN page_id % 10 < 3 THEN 'extraction' ELSE '' END AS reason FROM pages),
+(SELECT 'nodes+extraction+nodes_again|extraction_again+violations+l3a+l3b|items+summary|' AS attempts)""")
+def resumed_run(spark, d):
+    """The same batch, killed twice between stages and taken up again, then read once more when it is sealed; ``attempts`` lists the
+    stages that each attempt computed."""
+    items, pages = _simple_scope(spark, d)
+    path, attempts = shared_path(spark, "run"), []
+    for last in ("nodes_again", "l3b", None, None):
+        seen = []
+
+        def after(name, last=last, seen=seen):
+            seen.append(name)
+            if name == last:
+                raise _Killed(name)
+
+        try:
+            result, stages = run_or_resume(path, items, pages, "simple_static", after=after)
+            attempts.append(stages.computed)
+        except _Killed:
+            done = {name for attempt in attempts for name in attempt}
+            attempts.append([name for name in seen if name not in done])
+    return result.items.select("item_id", "status", "reason", F.lit("|".join("+".join(a) for a in attempts)).alias("attempts"))

@@ -12,14 +12,24 @@ from pyspark.sql import functions as F
 _local: list[str] = []
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write to the folder that the cluster shares and read back; ends the lineage."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that the cluster shares (``spark.checkpoint.dir``).
+
+    Where it is not set a temporary folder is used, but only in local mode: on a cluster each
+    executor would write to its own disk."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         if not _local:
             _local.append(tempfile.mkdtemp(prefix="tessera-"))
         base = _local[0]
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write to the folder that the cluster shares and read back; ends the lineage."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
