@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import review
-from tessera.sources import commit
+from tessera.sources import commit, freeze
 
 from .register import registrar
 
@@ -126,3 +126,16 @@ def freeze_action(spark, d):
     upstream = orders.where("o_totalprice >= 1500")
     frozen = orders.where("o_orderstatus != 'P'").withColumn("content", F.when(F.col("o_totalprice") > 100000, F.col("content")).otherwise(F.lit("old")))
     return commit.freeze_actions(orders, upstream, frozen, ["product_key", "language"], "product_key", "content")
+
+
+@query("""WITH o AS (SELECT o_custkey AS product_key, o_orderkey AS language, o_orderpriority AS old, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority || '*' ELSE o_orderpriority END AS new, min(o_totalprice) OVER (PARTITION BY o_custkey) < 5000 AS blocked FROM orders)
+SELECT product_key, language, CASE WHEN blocked THEN 'blocked' WHEN old = new THEN 'unchanged' ELSE 'updated' END AS action, CASE WHEN blocked THEN old ELSE new END AS content, CASE WHEN blocked THEN 'source missing or empty' END AS error FROM o""")
+def frozen_versions(spark, d):
+    """Two freezes of all orders, the second after some have changed and some are gone: what the current version then holds."""
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("product_key"), F.col("o_orderkey").alias("language"), F.col("o_orderpriority").alias("content"), "o_orderstatus", "o_totalprice")
+    root, keys = commit.shared_path(spark, "frozen"), ["product_key", "language"]
+    freeze.freeze(spark, root, orders, lambda: orders.select(*keys, "content"))
+    changed = F.when(F.col("o_orderstatus") == "F", F.concat("content", F.lit("*"))).otherwise(F.col("content"))
+    report = freeze.freeze(spark, root, orders, lambda: orders.where("o_totalprice >= 5000").select(*keys, changed.alias("content")))
+    held = freeze.current(spark, root, "product_key bigint, language bigint, content string")
+    return report.drop("n_bytes").join(held, keys)
