@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import changes, exclusions
+from tessera.sources.commit import shared_path
+from tessera.streaming.snapshots import watch
 
 from .register import registrar
 
@@ -150,3 +152,22 @@ def applicable_exclusions(spark, d):
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(places, F.col("l_suppkey") == F.col("s_suppkey"))
     lookups = rows.groupBy(F.col("p_brand").alias("grp"), F.lit("os").alias("os"), F.col("n_name").alias("region")).agg(F.collect_set("p_type").alias("table_ids"))
     return exclusions.applicability(lookups, units, "grp", many=False).select("grp", "region", "hits", "error")
+
+
+@query("""SELECT v.version, CAST(page_id AS BIGINT) AS page_id, v.change FROM pages, (VALUES (CAST(0 AS BIGINT), 1, 'added'), (1, 3, 'modified'), (2, 5, 'removed'), (3, 10, 'added')) v(version, every, change) WHERE page_id % v.every = 0""")
+def page_stream_changes(spark, d):
+    """All pages arrive as a stream of four snapshots: all of them, a third changed and a third as it was, a fifth deleted, and a tenth back
+    again while the rest of the fifth is deleted once more."""
+    pages = spark.read.parquet(f"{d}/pages.parquet").select(F.col("page_id").cast("bigint").alias("page_id"), "html")
+    root, key = shared_path(spark, "stream"), F.col("page_id")
+    none = F.lit(None).cast("string")
+    arrivals = (
+        pages,
+        pages.where(key % 3 < 2).withColumn("html", F.when(key % 3 == 0, F.concat("html", F.lit("!"))).otherwise(F.col("html"))),
+        pages.where(key % 5 == 0).withColumn("html", none),
+        pages.where(key % 5 == 0).withColumn("html", F.when(key % 10 == 0, F.col("html"))),
+    )
+    for arrival in arrivals:
+        arrival.write.mode("append").parquet(f"{root}/in")
+        watch(spark, f"{root}/in", None, f"{root}/changes", f"{root}/checkpoint", files=None).awaitTermination()
+    return spark.read.schema("page_id bigint, change string, version bigint").parquet(f"{root}/changes").select("version", "page_id", "change")

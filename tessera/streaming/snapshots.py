@@ -1,12 +1,13 @@
-"""Snapshots that arrive as files: each micro-batch is compared with the baseline, then becomes it."""
+"""Snapshots that arrive as files: each arrival is compared with what is known of its keys, which is keyed state."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from tessera.operators.changes import snapshot_changes
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -22,24 +23,69 @@ def baseline(spark: SparkSession, path: str, schema: str, before: int | None = N
     return spark.read.schema(schema).parquet(f"{path}/batch={versions[-1]}") if versions else spark.createDataFrame([], schema)
 
 
-def watch(spark: SparkSession, arrivals: str, baseline_path: str, changes_path: str, checkpoint: str, schema: str = "page_id bigint, html string") -> StreamingQuery:
-    """Start a query that writes (key, change, version) of every arrival and advances the baseline.
+class _LatestContent(StatefulProcessor):
+    """Per key the digest of its latest content; only keys of the arrival are looked at, only changed ones are written."""
+
+    def __init__(self, key: str, kind: str):
+        self.key, self.kind = key, kind
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.latest = handle.getValueState("latest", "digest string")
+
+    def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+        found = [d for part in rows for d in part["digest"] if d is not None and d == d]
+        new, old = max(found, default=None), self.latest.get()[0] if self.latest.exists() else None
+        if new == old:
+            return
+        if new is None:
+            self.latest.clear()
+        else:
+            self.latest.update((new,))
+        yield pd.DataFrame({self.key: [key[0]], "change": ["added" if old is None else "removed" if new is None else "modified"]})
+
+    def handleInitialState(self, key, initial, timer_values) -> None:
+        found = [d for d in initial["digest"] if d is not None]
+        if found:
+            self.latest.update((max(found),))
+
+    def close(self) -> None:
+        pass
 
-    A version of the baseline holds every key's latest content, so a batch reads one version and writes
-    the next.  A batch that is run again after a failure overwrites its own version, so nothing is told twice.
+
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def watch(spark: SparkSession, arrivals: str, baseline_path: str | None, changes_path: str, checkpoint: str, schema: str = "page_id bigint, html string", files: int | None = 1) -> StreamingQuery:
+    """Start a query that writes (key, change, version) of every arrival to ``changes_path``.
+
+    The latest digest of each key is keyed state, so an arrival costs work for its own keys, however many are known.  A
+    null content is a deletion: it is told once, and the key is new when it comes again.  Of several contents of a key in one arrival the
+    one of the greatest digest counts.  ``baseline_path`` may hold versions of a table of known contents (see
+    ``baseline``): they are the state that the first start begins with.  ``files`` of new files make an arrival, None takes
+    all.  A batch that is run again after a failure overwrites its own version, so nothing is told twice.
     """
-    key, content = (c.strip().split()[0] for c in schema.split(","))
-
-    def advance(batch: DataFrame, version: int) -> None:
-        new = batch.groupBy(key).agg(F.max(content).alias(content))
-        old = baseline(spark, baseline_path, schema, version)
-        found = snapshot_changes(new, new, old, key, content).where("change != 'unchanged'")
-        found.withColumn("version", F.lit(version).cast("bigint")).write.mode("overwrite").parquet(f"{changes_path}/batch={version}")
-        kept = old.join(new.select(key), key, "left_anti").select(key, content)
-        kept.unionByName(new.select(key, content)).write.mode("overwrite").parquet(f"{baseline_path}/batch={version}")
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
-    return stream.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    (key, kind), (content, _) = (c.split()[:2] for c in schema.split(","))
+    digest = lambda df: df.select(key, F.when(F.col(content).isNotNull(), F.sha2(content, 256)).alias("digest"))
+
+    def tell(batch: DataFrame, version: int) -> None:
+        batch.withColumn("version", F.lit(version).cast("bigint")).write.mode("overwrite").parquet(f"{changes_path}/batch={version}")
+
+    reader = spark.readStream.schema(schema)
+    stream = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(arrivals)
+    known = digest(baseline(spark, baseline_path, schema)).groupBy(key) if baseline_path and _versions(spark, baseline_path) else None
+    changes = digest(stream).groupBy(key).transformWithStateInPandas(_LatestContent(key, kind), f"{key} {kind}, change string", "Append", "None", initialState=known)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
+    try:
+        # the query keeps the settings it was started with
+        return changes.writeStream.foreachBatch(tell).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def event_windows(events: DataFrame, late: str = "1 hour", width: str = "1 day") -> DataFrame:

@@ -158,6 +158,32 @@ def test_stream_of_snapshots(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/changes").where(F.col("version") == 1).count() == 2
 
 
+def test_stream_state_costs_the_arrival_alone(spark, tmp_path):
+    """A thousand known pages, then arrivals of a few: only their keys are written; a deletion is told once, a page that comes back is new."""
+    arrivals, schema = f"{tmp_path}/in", "page_id long, html string"
+
+    def arrive(rows):
+        rows.write.mode("append").parquet(arrivals)
+        query = watch(spark, arrivals, None, f"{tmp_path}/changes", f"{tmp_path}/check", files=None)
+        query.awaitTermination()
+        return [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"][0]
+
+    arrive(spark.range(1000).selectExpr("id as page_id", "concat('page ', id) as html"))
+    for given in ([(1, "page 1"), (2, "new"), (2, None), (3, None)], [(3, None), (4, None), (5, "page 5")], [(3, "back"), (4, None)]):
+        state = arrive(table(spark, given, schema))
+        assert state["numRowsUpdated"] <= 3 and state["numRowsTotal"] >= 900
+    got = {(r["version"], r["page_id"], r["change"]) for r in spark.read.parquet(f"{tmp_path}/changes").where("version > 0").collect()}
+    assert got == {(1, 2, "modified"), (1, 3, "removed"), (2, 4, "removed"), (3, 3, "added")}
+
+
+def test_stream_begins_with_a_baseline(spark, tmp_path):
+    schema = "page_id long, html string"
+    table(spark, [(1, "a"), (2, "b")], schema).write.parquet(f"{tmp_path}/base/batch=0")
+    table(spark, [(1, "a"), (2, "c"), (3, "d")], schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    watch(spark, f"{tmp_path}/in", f"{tmp_path}/base", f"{tmp_path}/changes", f"{tmp_path}/check").awaitTermination()
+    assert {(r["page_id"], r["change"]) for r in spark.read.parquet(f"{tmp_path}/changes").collect()} == {(2, "modified"), (3, "added")}
+
+
 def _trees(seed=3, items=6):
     """Random trees as (item_id, pre, last) with repeated shapes: deep chains, wide rows, single nodes."""
     rng = random.Random(seed)
