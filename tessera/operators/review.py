@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MATERIALS = ("source", "payload", "l3a", "l3b")
@@ -24,6 +24,92 @@ def review_queue(items: DataFrame, languages: int) -> DataFrame:
     return agg.select("product_key", (reasons == "").alias("queued"), reasons.alias("reasons"))
 
 
+def queue_items(items: DataFrame, materials: DataFrame, reports: DataFrame) -> DataFrame:
+    """(item_id, product_key, language, reasons): why an item may not be reviewed, in order; empty if it may.
+
+    ``items`` has run, item_id, product_key, language, status, error, input, extraction, l3a, l3b, content
+    (identity of its payload) and broken (a broken rule of its payload, or null); ``materials`` (run, item_id,
+    material) what is there, ``reports`` (run, item_id, check, product_key, language, status, content) the checks' own
+    words.  An item that did not pass tells all its stages; only of others materials are looked for, and only
+    where none is missing are payload and reports judged.  A report must be of the item's run, check, product and language, passed, and
+    about the very payload that lies there.
+    """
+    key = ["run", "item_id"]
+    there = materials.groupBy(*key).agg(F.collect_set("material").alias("there"))
+    own = [reports.where(F.col("check") == name).groupBy(*key).agg(F.min(F.struct("product_key", "language", "status", "content")).alias(f"r_{name}"), F.count("*").alias(f"n_{name}")) for name in ("l3a", "l3b")]
+    joined = items.join(there, key, "left")
+    for table in own:
+        joined = joined.join(table, key, "left")
+    missing = F.filter(F.array(*map(F.lit, MATERIALS)), lambda m: ~F.array_contains(F.coalesce("there", F.array().cast("array<string>")), m))
+
+    def report(name: str) -> Column:
+        r, wrong = F.col(f"r_{name}"), lambda text: F.lit(f"{name} report: {text}")
+        return (
+            F.when(r.isNull(), wrong("not of this run"))
+            .when(F.col(f"n_{name}") > 1, wrong("several"))
+            .when(~r["product_key"].eqNullSafe(F.col("product_key")) | ~r["language"].eqNullSafe(F.col("language")), wrong("of another item"))
+            .when(~r["status"].eqNullSafe("passed"), wrong("not passed"))
+            .when(~r["content"].eqNullSafe(F.col("content")), wrong("of another payload"))
+        )
+
+    def reasons(*found: Column) -> Column:
+        return F.array_compact(F.array(*found))
+
+    stage = lambda name, text: F.when(~F.col(name).eqNullSafe("passed"), F.lit(text))
+    stages = reasons(
+        F.when(~F.col("status").eqNullSafe("passed"), F.coalesce("error", F.concat(F.lit("result is "), F.coalesce("status", F.lit("unknown"))))),
+        stage("input", "source not fixed"), stage("extraction", "extraction not passed"), stage("l3a", "l3a not passed"), stage("l3b", "l3b not passed"),
+    )
+    lacks = reasons(F.when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", "))))
+    judged = reasons(F.when(F.col("broken").isNotNull(), F.concat(F.lit("payload: "), F.col("broken"))), report("l3a"), report("l3b"))
+    told = joined.withColumns({"_stages": stages, "_lacks": lacks, "_judged": judged})
+    return told.select("item_id", "product_key", "language", F.when(F.size("_stages") > 0, F.col("_stages")).when(F.size("_lacks") > 0, F.col("_lacks")).otherwise(F.col("_judged")).alias("reasons"))
+
+
+def queue_products(queued: DataFrame, languages: list[str]) -> DataFrame:
+    """(product_key, ready, reasons) of ``queue_items``: ready if each of the languages has its one item and no item a reason; reasons in the order of
+    the languages, a missing or repeated language among them."""
+    order = F.array(*map(F.lit, languages))
+    rows = queued.groupBy("product_key").agg(F.collect_list(F.struct("language", "reasons")).alias("all"))
+
+    def of(language: Column) -> Column:
+        own = F.filter("all", lambda x: x["language"] == language)
+        told = F.flatten(F.transform(own, lambda x: F.transform(x["reasons"], lambda r: F.concat(language, F.lit(": "), r))))
+        return F.when(F.size(own) == 0, F.array(F.concat(language, F.lit(": no item")))).when(F.size(own) > 1, F.array(F.concat(language, F.lit(": several items")))).otherwise(told)
+
+    reasons = F.flatten(F.transform(order, of))
+    return rows.select("product_key", (F.size(reasons) == 0).alias("ready"), reasons.alias("reasons"))
+
+
+def decision_errors(requests: DataFrame, products: DataFrame, queued: DataFrame, now: DataFrame, decided: DataFrame, languages: list[str]) -> DataFrame:
+    """(product_key, error) of decisions (product_key, reviewer, decision, languages, materials, notes) that somebody wants to record.
+
+    Who and why must be told; an approval must have looked at all languages and materials; the product
+    must be ready in the queue; what the queue names (``queued``: product_key, item_id, material, content) must still be what lies
+    there (``now``, the same columns); and a decision that is there is never replaced."""
+    key = ["product_key", "item_id", "material"]
+    a, b = queued.select(*key, F.col("content").alias("was")), now.select(*key, F.col("content").alias("is"))
+    moved = a.join(b, key, "left").where(~F.col("was").eqNullSafe(F.col("is"))).select("product_key").distinct().withColumn("moved", F.lit(True))
+    joined = requests.join(products.select("product_key", "ready"), "product_key", "left").join(moved, "product_key", "left").join(decided.select("product_key").distinct().withColumn("decided", F.lit(True)), "product_key", "left")
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    subset = lambda c, allowed: F.size(F.array_except(c, F.array(*map(F.lit, allowed)))) > 0
+    partial = lambda c, whole: F.size(F.array_intersect(F.array(*map(F.lit, whole)), c)) < len(whole)
+    approved = F.col("decision") == "approved"
+    cases = (
+        (blank("reviewer"), "no reviewer"),
+        (blank("notes"), "no notes"),
+        (~F.coalesce(F.col("decision").isin("approved", "rejected"), F.lit(False)), "unknown decision"),
+        (subset("languages", languages) | subset("materials", MATERIALS) | (F.size("languages") == 0) | (F.size("materials") == 0), "unknown scope"),
+        (approved & partial("languages", languages), "not all languages inspected"),
+        (approved & partial("materials", MATERIALS), "not all materials inspected"),
+        (F.col("ready").isNull(), "not queued"),
+        (~F.col("ready"), "not ready"),
+        (F.col("moved"), "materials changed since"),
+        (F.col("decided"), "decided already"),
+    )
+    return joined.select("product_key", F.coalesce(*(F.when(case, F.lit(text)) for case, text in cases)).alias("error"))
+
+
 def review_status(queue: DataFrame, decisions: DataFrame) -> DataFrame:
     """(product_key, status): the decision, or pending."""
     return queue.where("queued").select("product_key").join(decisions.select("product_key", "decision"), "product_key", "left").select("product_key", F.coalesce("decision", F.lit("pending")).alias("status"))

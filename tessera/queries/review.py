@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import canonical
 from tessera.operators import review
 from tessera.sources import commit, freeze
 
@@ -139,3 +140,57 @@ def frozen_versions(spark, d):
     report = freeze.freeze(spark, root, orders, lambda: orders.where("o_totalprice >= 5000").select(*keys, changed.alias("content")))
     held = freeze.current(spark, root, "product_key bigint, language bigint, content string")
     return report.drop("n_bytes").join(held, keys)
+
+
+_FLAWS = """SELECT o_custkey AS product_key, o_orderkey AS item_id, o_orderstatus AS language, o_orderkey AS k FROM orders"""
+_STAGES = """list_filter([CASE WHEN k % 10 = 0 THEN 'why' WHEN k % 5 = 0 THEN 'result is failed' END, CASE WHEN k % 7 = 0 THEN 'source not fixed' END, CASE WHEN k % 11 = 0 THEN 'extraction not passed' END, CASE WHEN k % 13 = 0 THEN 'l3a not passed' END, CASE WHEN k % 17 = 0 THEN 'l3b not passed' END], lambda x: x IS NOT NULL)"""
+_LACKS = """CASE WHEN k % 19 = 0 AND k % 23 = 0 THEN ['missing: payload, l3b'] WHEN k % 19 = 0 THEN ['missing: payload'] WHEN k % 23 = 0 THEN ['missing: l3b'] ELSE [] END"""
+_JUDGED = """list_filter([CASE WHEN k % 29 = 0 THEN 'payload: R05 slug' END, CASE WHEN k % 31 = 0 THEN 'l3a report: not of this run' WHEN k % 37 = 0 THEN 'l3a report: of another item' WHEN k % 3 = 0 THEN 'l3a report: of another payload' END, CASE WHEN k % 43 = 0 THEN 'l3b report: several' WHEN k % 41 = 0 THEN 'l3b report: not passed' END], lambda x: x IS NOT NULL)"""
+_REASONS = f"(SELECT product_key, item_id, language, CASE WHEN len({_STAGES}) > 0 THEN {_STAGES} WHEN len({_LACKS}) > 0 THEN {_LACKS} ELSE {_JUDGED} END AS reasons FROM ({_FLAWS}))"
+
+
+def _queued(spark, d):
+    """Orders as items of a run, with faults in stages, materials, payloads and reports, alone and together."""
+    k, bad = F.col("o_orderkey"), lambda n: F.col("o_orderkey") % n == 0
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", k.alias("item_id"), F.col("o_custkey").alias("product_key"), F.col("o_orderstatus").alias("language"), F.lit("run-1").alias("run"), F.sha2(k.cast("string"), 256).alias("content"))
+    state = lambda n: F.when(bad(n), "failed").otherwise("passed")
+    items = orders.select("*", state(5).alias("status"), F.when(bad(10), "why").alias("error"), state(7).alias("input"), state(11).alias("extraction"), state(13).alias("l3a"), state(17).alias("l3b"), F.when(bad(29), "R05 slug").alias("broken"))
+    present = F.array_compact(F.array(F.lit("source"), F.when(~bad(19), "payload"), F.lit("l3a"), F.when(~bad(23), "l3b")))
+    materials = orders.select("run", "item_id", F.explode(present).alias("material"))
+    first = orders.select(F.when(bad(31), "run-0").otherwise(F.col("run")).alias("run"), "item_id", F.lit("l3a").alias("check"), F.when(bad(37), -1).otherwise(F.col("product_key")).alias("product_key"), "language", F.lit("passed").alias("status"), F.when(bad(3), "other").otherwise(F.col("content")).alias("content"))
+    times = F.explode(F.when(bad(43), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    second = orders.select("run", "item_id", F.lit("l3b").alias("check"), "product_key", "language", F.when(bad(41), "failed").otherwise("passed").alias("status"), "content", times.alias("n")).drop("n")
+    return review.queue_items(items, materials, first.unionByName(second))
+
+
+@query(f"SELECT item_id, product_key, language, array_to_string(reasons, ' | ') AS reasons FROM {_REASONS}")
+def queue_item_reasons(spark, d):
+    return _queued(spark, d).withColumn("reasons", F.array_join("reasons", " | "))
+
+
+@query(f"""WITH r AS (SELECT * FROM {_REASONS}), c AS (SELECT DISTINCT product_key, l FROM r, (VALUES ('F'), ('O')) v(l)),
+t AS (SELECT c.product_key, c.l, CASE WHEN count(r.item_id) = 0 THEN c.l || ': no item' WHEN count(r.item_id) > 1 THEN c.l || ': several items' WHEN len(any_value(r.reasons)) = 0 THEN NULL ELSE array_to_string(list_transform(any_value(r.reasons), lambda x: c.l || ': ' || x), ' | ') END AS told
+ FROM c LEFT JOIN r ON r.product_key = c.product_key AND r.language = c.l GROUP BY c.product_key, c.l)
+SELECT product_key, count(told) = 0 AS ready, coalesce(string_agg(told, ' | ' ORDER BY l), '') AS reasons FROM t GROUP BY product_key""")
+def queue_product_gate(spark, d):
+    return review.queue_products(_queued(spark, d), ["F", "O"]).withColumn("reasons", F.array_join("reasons", " | "))
+
+
+@query(r"""SELECT c_custkey AS product_key, sha256('{' || chr(10) || '  "title": "' || c_name || '\t\"价\\' || c_mktsegment || '\u0001",' || chr(10) || '  "n": ' || c_nationkey || ',' || chr(10) || '  "flag": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || ',' || chr(10)
+|| '  "tags": ' || CASE WHEN c_nationkey % 3 = 0 THEN '[]' ELSE '[' || chr(10) || '    "' || c_mktsegment || '",' || chr(10) || '    "' || c_name || '"' || chr(10) || '  ]' END || ',' || chr(10)
+|| '  "options": [' || chr(10) || '    {' || chr(10) || '      "label": "a",' || chr(10) || '      "isDefault": true' || chr(10) || '    },' || chr(10) || '    {' || chr(10) || '      "label": "b"' || chr(10) || '    }' || chr(10) || '  ]'
+|| CASE WHEN c_nationkey > 12 THEN ',' || chr(10) || '  "shared": "<p>/' || c_mktsegment || '</p>"' ELSE '' END || chr(10) || '}' || chr(10)) AS bytes_sha256 FROM customer""")
+def canonical_payload_bytes(spark, d):
+    """The one text of payloads made of customers: escapes, empty and full arrays, and a field that some lack."""
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    option = lambda label, default: F.struct(F.lit(label).alias("label"), default.alias("isDefault"))
+    payload = F.struct(
+        F.concat("c_name", F.lit('\t"价\\'), "c_mktsegment", F.lit("\x01")).alias("title"),
+        F.col("c_nationkey").alias("n"),
+        (F.col("c_acctbal") > 0).alias("flag"),
+        F.when(F.col("c_nationkey") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array("c_mktsegment", "c_name")).alias("tags"),
+        F.array(option("a", F.lit(True)), option("b", F.lit(None).cast("boolean"))).alias("options"),
+        F.when(F.col("c_nationkey") > 12, F.concat(F.lit("<p>/"), "c_mktsegment", F.lit("</p>"))).alias("shared"),
+    )
+    made = c.select(F.col("c_custkey").alias("product_key"), payload.alias("payload"))
+    return made.select("product_key", F.sha2(canonical.payload_bytes(F.col("payload"), made.schema["payload"].dataType), 256).alias("bytes_sha256"))

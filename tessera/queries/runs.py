@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import chains, runs
 from tessera.plans import independent
+from tessera.sources import listing
+from tessera.sources.commit import shared_path
 
 from .register import registrar
 
@@ -230,3 +232,22 @@ def second_exclusions(spark, d):
     ids = F.when(q == 1, F.lit(" # ")).when(q == 2, F.concat(F.lit("##"), key)).otherwise(F.concat(F.lit(" #"), key, F.lit(" ")))
     raw = _table(spark, d, "lineitem").groupBy(F.concat(F.lit(" "), F.col("l_suppkey").cast("string")).alias("os"), F.concat("l_returnflag", F.lit(" ")).alias("region")).agg(F.collect_list(ids).alias("ids"))
     return independent.second_exclusions(raw).select("os", "region", F.array_sort("table_ids").alias("table_ids"), "error")
+
+
+@query("""WITH l AS (SELECT DISTINCT l_suppkey AS s, l_returnflag || l_linestatus AS p FROM lineitem), r AS (SELECT s_suppkey AS s, count(l.p) AS n FROM supplier LEFT JOIN l ON l.s = s_suppkey GROUP BY 1)
+SELECT CASE WHEN s % 13 != 0 THEN 'run-' || s END AS run, 'run-' || s || CASE WHEN s % 7 = 0 THEN '.building' ELSE '' END || CASE WHEN s % 11 = 0 AND s % 13 != 0 THEN '-x' ELSE '' END AS directory, s % 7 != 0 OR s % 11 = 0 AND s % 13 != 0 AS sealed, CASE WHEN s % 13 != 0 THEN CASE WHEN s % 5 = 0 AND n > 0 THEN n + 1 ELSE n END END AS products, CASE WHEN s % 13 != 0 AND s % 3 = 0 THEN 1 ELSE 0 END AS pending,
+CASE WHEN s % 13 = 0 THEN 'unreadable manifest' WHEN s % 11 = 0 THEN 'name differs' WHEN s % 5 = 0 AND n > 0 THEN 'product named twice' END AS error FROM r""")
+def listed_runs(spark, d):
+    """Manifests of a run for each supplier, written to folders and read back from them: some are being written, some stand in a folder of another
+    name, some name a product twice, some can't be read."""
+    s, root = F.col("s_suppkey"), shared_path(spark, "runs")
+    kinds = _table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sort_array(F.collect_set(F.concat("l_returnflag", "l_linestatus"))).alias("keys"))
+    rows = _table(spark, d, "supplier").join(kinds, "s_suppkey", "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<string>")))
+    run = F.concat(F.lit("run-"), s.cast("string"))
+    keys = F.when(s % 5 == 0, F.concat("keys", F.slice("keys", 1, 1))).otherwise(F.col("keys"))
+    items = F.array(F.struct(F.when(s % 3 == 0, "pending").otherwise("passed").alias("status")))
+    manifest = F.to_json(F.struct(run.alias("run_name"), F.lit("incremental").alias("batch_kind"), F.struct(keys.alias("product_keys")).alias("scope"), items.alias("items")))
+    place = F.concat(run, F.when(s % 7 == 0, listing.BUILDING).otherwise(""), F.when((s % 11 == 0) & (s % 13 != 0), "-x").otherwise(""))
+    rows.select(F.when(s % 13 == 0, "{no manifest").otherwise(manifest).alias("value"), place.alias("run")).repartition("run").write.partitionBy("run").text(root)
+    found = listing.runs_in(spark, root, "part-*")
+    return found.select("run", "directory", "sealed", F.size("product_keys").cast("bigint").alias("products"), "pending", "error").withColumn("products", F.when(F.col("run").isNotNull(), F.col("products")))

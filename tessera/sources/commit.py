@@ -66,8 +66,3 @@ def freeze_actions(items: DataFrame, upstream: DataFrame, frozen: DataFrame, key
     gate = joined.groupBy(product).agg(F.bool_and(F.coalesce(F.length("new") > 0, F.lit(False))).alias("whole"))
     action = F.when(~F.col("whole"), "blocked").when(F.col("old").isNull(), "copied").when(F.col("old") == F.col("new"), "unchanged").otherwise("updated")
     return joined.join(gate, product).select(*keys, action.alias("action"))
-
-
-def payload_bytes(value: str) -> str:
-    """SQL for a payload struct as compact JSON text with absent fields left out."""
-    return f"to_json({value})"
