@@ -54,12 +54,33 @@ def page_normalize(spark, d):
     return _pages(spark, d).select("page_id", F.sha2(scalars.normalize_html(F.col("html")), 256).alias("normalized"))
 
 
-@query("SELECT page_id, sha256('<!-- <i class=\"icon-tick\"></i> -->✓<img src=\"{base_url}/a.png\">{base_url}/Images/b<i class=\"icon-ticked\"></i>' || trim(title, ' ')) AS html FROM (SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title FROM pages)")
+_MARKUP = (
+    ("<li>", '<li><i class="icon icon-tick"> </i>'),
+    ("<p>", "<p><img SRC = '/Images/p.png'>"),
+    ("<b>", '<b src="//host/x" data-config="/Images/b">'),
+    ("<h1>", '<h1><img src="{base_url}/Images/h.png"/><i class="icon-ticked"></i>'),
+    ("<script>", '<!-- <i class="icon-tick"></i> --><script>'),
+)
+
+
+def _set_in(html: str, quote) -> str:
+    for old, new in _MARKUP:
+        html = quote(html, old, new)
+    return html
+
+
+_SET_IN = _set_in("html", lambda html, old, new: "replace({}, '{}', '{}')".format(html, old.replace("'", "''"), new.replace("'", "''")))
+
+
+@query(rf"""SELECT page_id, ticks, sha256(replace(replace(replace(h, '<i class="icon icon-tick"></i>', '✓'), 'SRC = ''/Images/p', 'SRC = ''{{base_url}}/Images/p'), 'data-config="/Images/b"', 'data-config="{{base_url}}/Images/b"')) AS html FROM (SELECT page_id, (length(html) - length(replace(html, '<li>', ''))) // 4 AS ticks,
+ trim(regexp_replace(regexp_replace(regexp_replace({_SET_IN}, '{scalars.SPACE}+', ' ', 'g'), '<div>{scalars.SPACE}*</div>', '', 'g'), '>{scalars.SPACE}+<', '><', 'g'), ' ') AS h FROM pages)""")
 def page_base_url(spark, d):
-    """Tick, source and image rules on markup set before each page's title."""
-    probe = '<!-- <i class="icon-tick"></i> --><i class="a icon-tick"> </i><img src="/a.png">/Images/b<i class="icon-ticked"></i>'
-    title = F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1)
-    return _pages(spark, d).select("page_id", F.sha2(scalars.normalize_html(F.concat(F.lit(probe), title)), 256).alias("html"))
+    """Tick, source and image rules over whole pages, whose list items, paragraphs, headings and scripts get icons and images."""
+    html = F.col("html")
+    for old, new in _MARKUP:
+        html = F.replace(html, F.lit(old), F.lit(new))
+    made = _pages(spark, d).select("page_id", scalars.normalize_html(html).alias("html"))
+    return made.select("page_id", (F.length("html") - F.length(F.replace("html", F.lit("✓"), F.lit("")))).cast("bigint").alias("ticks"), F.sha2("html", 256).alias("html"))
 
 
 @query(rf"""SELECT page_id, sha256(array_to_string(list_filter(list_transform(regexp_split_to_array(a, '<[^>]*>'), lambda x: trim(replace(replace(replace(x, '&amp;', '&'), '&copy;', '©'), '&middot;', '·'), ' ' || chr(10))), lambda x: x != ''), ' ')) AS text FROM (SELECT page_id, regexp_extract(h, '(?s)<footer>(.*?)</footer>', 1) AS a FROM {_CLEAN})""")
