@@ -8,29 +8,26 @@ and formatted, one conversation each.
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged
+from .common import small_batches, staged
 
 START, END = "<|im_start|>", "<|im_end|>"
 ASSISTANT = "assistant"
-
-
-def escape(text: Column) -> Column:
-    r"""Control strings can't occur in the result: ``\`` is doubled and ``<|`` becomes ``<\|``."""
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
+_ESCAPED = re.compile(r"\\(.)", re.DOTALL)
+_FORMATTED = pa.struct([("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
 
 def unescape(text: Column) -> Column:
+    r"""Control strings can't occur in a formatted text: ``\`` is doubled and ``<|`` becomes ``<\|``."""
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def _escape_role(role: Column) -> Column:
-    return F.replace(F.replace(escape(role), F.lit("<~"), F.lit("<\\~")), F.lit("\n"), F.lit("<~n~>"))
-
-
 def _unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("<~n~>"), F.lit("\n")))
 
@@ -76,19 +73,27 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> tuple[DataFrame, int]
 
 def format_turns(turns: Column, learned: str = ASSISTANT) -> Column:
     """struct(formatted, loss array<struct<start, end>>) of an array of (role, text): the spans,
-    in code points, cover the escaped texts of the learned role."""
+    in code points, cover the escaped texts of the learned role.
+
+    Places are a running sum over the turns and the pieces are joined once, so a conversation costs its length."""
 
-    def add(state: Column, turn: Column) -> Column:
-        head = F.concat(F.lit(START), _escape_role(turn["role"]), F.lit("\n"))
-        body = escape(turn["text"])
-        start = F.length(state["formatted"]) + F.length(head)
-        span = F.array(F.struct(start.cast("bigint").alias("start"), (start + F.length(body)).cast("bigint").alias("end")))
-        return F.struct(
-            F.concat(state["formatted"], head, body, F.lit(f"{END}\n")).alias("formatted"),
-            F.when(turn["role"] == learned, F.concat(state["loss"], span)).otherwise(state["loss"]).alias("loss"),
-        )
+    @F.arrow_udf("struct<formatted: string, loss: array<struct<start: bigint, end: bigint>>>")
+    def run(column: pa.Array) -> pa.Array:
+        out = []
+        for said in column.to_pylist():
+            pieces, loss, at = [], [], 0
+            for turn in said or []:
+                role = turn["role"].replace("\\", "\\\\").replace("<|", "<\\|").replace("<~", "<\\~").replace("\n", "<~n~>")
+                head, body = f"{START}{role}\n", turn["text"].replace("\\", "\\\\").replace("<|", "<\\|")
+                at += len(head)
+                if turn["role"] == learned:
+                    loss.append({"start": at, "end": at + len(body)})
+                at += len(body) + len(END) + 1
+                pieces += [head, body, f"{END}\n"]
+            out.append({"formatted": "".join(pieces), "loss": loss})
+        return pa.array(out, _FORMATTED)
 
-    return F.aggregate(turns, F.struct(F.lit("").alias("formatted"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("loss")), add)
+    return run(turns)
 
 
 def parse_turns(formatted: Column) -> Column:
@@ -105,7 +110,15 @@ def parse_turns(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped, in order, nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for text, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
+            out.append("".join(_ESCAPED.sub(r"\1", text[s["start"] : s["end"]]) for s in own or []))
+        return pa.array(out, pa.string())
+
+    return run(formatted, loss)
 
 
 def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
@@ -114,6 +127,7 @@ def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
     ``messages`` has tree, node, parent, score, role and text; null roles and texts are empty.
     See ``reply_paths`` for ties, repeated and null rows; other columns are ignored.
     """
+    small_batches(messages.sparkSession)
     paths, _ = reply_paths(messages, branches)
     texts = messages.where("tree is not null and node is not null").groupBy("tree", "node").agg(F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("said"))
     gathered = paths.join(texts, ["tree", "node"]).groupBy("tree", "leaf", "rank").agg(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), F.col("said.role").alias("role"), F.col("said.text").alias("text")))).alias("turns"))

@@ -40,3 +40,19 @@ def test_ties_nulls_and_empty(spark):
     got = {r["conv_id"]: r for r in chat.chat_report(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
     assert got[1]["n_turns"] == 4 and got[1]["loss_chars"] == 0 and got[None]["n_turns"] == 1
     assert chat.chat_report(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+def test_a_very_long_conversation(spark):
+    """Twenty thousand turns cost their length: formatted and read back in well under a minute, exactly."""
+    import hashlib
+    import time
+
+    n = 20_000
+    rows = spark.range(n).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "concat('<|', repeat('x\\\\', 50), id) as text")
+    began = time.time()
+    got = chat.chat_report(rows).first()
+    texts = [f"<|{'x' + chr(92)}".replace("x" + chr(92), ("x" + chr(92)) * 50) + str(i) for i in range(n)]
+    said = "".join(f"{'assistant' if i % 2 else 'user'}\n{t}\n" for i, t in enumerate(texts))
+    assert got["n_turns"] == n and got["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert got["loss_sha256"] == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()
+    assert time.time() - began < 60
