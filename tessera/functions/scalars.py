@@ -13,7 +13,7 @@ SPACE = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 _TICK = rf"""(?i)<i(?:{SPACE}[^>]*)?{SPACE}class{SPACE}*={SPACE}*(?:"(?:[^"]*{SPACE})?icon-tick(?:{SPACE}[^"]*)?"|'(?:[^']*{SPACE})?icon-tick(?:{SPACE}[^']*)?')[^>]*>{SPACE}*</i>"""
 _READABLE = "^[a-z0-9]+(-[a-z0-9]+)*$"
 #: fixed values: prefixes of the last-modified line of support articles
-_DATE_PREFIX = r"(?i)^(?:上次更新|更新时间|最后更新|last updated|updated)" + rf"{SPACE}*[：:]?{SPACE}*"
+_DATE_PREFIX = rf"(?i)^(?:最后更新(?:时间|日期)|更新时间|last{SPACE}+updated|updated){SPACE}*[：:]?{SPACE}*"
 
 
 def strip(text: Column) -> Column:
@@ -91,7 +91,7 @@ def article_title(title: Column) -> Column:
 
 
 def modified_date(line: Column) -> Column:
-    return F.regexp_replace(line, _DATE_PREFIX, "")
+    return strip(F.regexp_replace(line, _DATE_PREFIX, ""))
 
 
 def is_readable_id(text: Column) -> Column:
