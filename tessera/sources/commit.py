@@ -19,7 +19,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     executor would write to its own disk."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         if not _local:
             _local.append(tempfile.mkdtemp(prefix="tessera-"))

@@ -89,6 +89,6 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     from tessera.sources import commit
 
-    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="local-cluster[2,1,1024]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         commit.shared_path(fake, "x")
