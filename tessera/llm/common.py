@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dir: list[str] = []
-
+from tessera.sources.commit import shared_path
 
 BATCH_BYTES = 8 << 20
 
@@ -26,16 +23,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the cluster shares (``spark.checkpoint.dir``).
-
-    Only where that setting is absent, as in local tests, a temporary folder is used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="tessera-"))
-        base = _own_dir[0]
-    return f"{base.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder that the cluster shares (``spark.checkpoint.dir``); see ``shared_path``."""
+    return shared_path(spark, f"tessera-{name}")
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
