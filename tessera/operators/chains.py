@@ -17,15 +17,20 @@ def chain_conflicts(records: DataFrame) -> DataFrame:
 
 def chain_depths(records: DataFrame, most_doublings: int = 40) -> DataFrame:
     """(record, root, depth) of linear chains.  Self-joins that double their reach take the logarithm
-    of the longest chain; records in a circle have no root and are left out with a null root."""
+    of the longest chain; records in a circle have no root and are left out with a null root.
+
+    A round in which no record reaches an end leaves only records whose reach stays among themselves: circles
+    and what follows them, which no further round would settle."""
     from tessera.sources.commit import staged
 
     step, _ = staged(records.select("record", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("depth"), F.when(F.col("parent").isNull(), F.col("record")).alias("root")), "chains")
-    rows = step.count()
-    for k in range(most_doublings):
+    before = -1
+    for _ in range(most_doublings):
         still = step.where("up is not null")
-        if still.isEmpty() or 1 << k > rows:
+        left = still.count()
+        if left in (0, before):
             break
+        before = left
         above = step.select(F.col("record").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("root").alias("above_root"))
         moved = still.join(above, "up", "left").select("record", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("above_root", F.when(F.col("more").isNull(), F.col("up"))).alias("root"))
         step, _ = staged(step.where("up is null").unionByName(moved), "chains")

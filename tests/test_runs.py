@@ -57,6 +57,16 @@ def test_inputs_follow_the_chain_and_circles_have_none(spark):
     assert {r["record"] for r in chains.chain_circles(records).collect()} == {"x", "y", "z"}
 
 
+def test_circles_end_the_doubling_when_nothing_more_is_settled(spark, monkeypatch):
+    from tessera.sources import commit
+
+    rounds, real = [], commit.staged
+    monkeypatch.setattr(commit, "staged", lambda df, name: rounds.append(name) or real(df, name))
+    records = table(spark, [(i, i - 1 if i % 4 else None) for i in range(1000)] + [(2000, 2002), (2001, 2000), (2002, 2001), (2003, 2000)], "record long, parent long")
+    assert {r["record"] for r in chains.chain_circles(records).collect()} == {2000, 2001, 2002, 2003}
+    assert len(rounds) <= 5
+
+
 def test_resume_and_files(spark):
     items = table(spark, [(1, "passed"), (2, "passed"), (3, "blocked"), (4, "passed")], "item_id long, input string")
     now, frozen = table(spark, [(1, b"x"), (2, b"y"), (4, b"z")], "item_id long, content binary"), table(spark, [(1, b"x"), (2, b"n")], "item_id long, content binary")
