@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars
@@ -35,7 +38,27 @@ def page_nodes_by_tag(spark, d):
     return shred(_pages(spark, d), columns=("kind", "tag")).where("kind = 'element'").groupBy("tag").agg(F.count("*").alias("n"))
 
 
-@query(rf"""SELECT page_id, trim(replace(regexp_extract(h, '(?s)<title>(.*?)</title>', 1), '&amp;', '&')) AS title, trim(replace(regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) AS heading, regexp_extract(h, '<html lang="([^"]*)"', 1) AS language FROM {_CLEAN}""")
+def _values(rows) -> str:
+    return ", ".join("({}, '{}')".format(key, value.replace("'", "''")) for key, value in rows)
+
+
+# character references as HTML has them: of names the longest known one, with or without its semicolon; some numbers stand for other characters, or for none
+_NAMES = _values((f"'{name}'", value) for name, value in sorted(html5.items()))
+_SPECIAL = (n for n in (*range(0xA0), *range(0xFDD0, 0xFDF0), *(plane + end for plane in range(0, 0x110000, 0x10000) for end in (0xFFFE, 0xFFFF))))
+_NUMBERS = _values((n, unescape(f"&#{n};")) for n in _SPECIAL if unescape(f"&#{n};") != chr(n))
+
+
+@query(rf"""WITH names(n, c) AS (VALUES {_NAMES}), numbers(k, c) AS (VALUES {_NUMBERS}),
+found AS (SELECT page_id, regexp_extract(h, '(?s)<title>(.*?)</title>', 1) AS title, regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1) AS heading, regexp_extract(h, '<html lang="([^"]*)"', 1) AS language FROM {_CLEAN}),
+texts AS (SELECT page_id, 'title' AS w, string_split(title, '&') AS l FROM found UNION ALL SELECT page_id, 'heading', string_split(heading, '&') FROM found),
+pieces AS (SELECT page_id, w, i, p, CASE WHEN i > 0 THEN regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^	
+ <&#;]{{1,32}};?)') ELSE '' END AS r FROM (SELECT page_id, w, unnest(l) AS p, unnest(range(len(l))) AS i FROM texts)),
+named AS (SELECT page_id, w, i, max(x) AS x, max_by(c, x) AS c FROM (SELECT page_id, w, i, r, unnest(range(2, length(r) + 1)) AS x FROM pieces WHERE r NOT LIKE '#%') JOIN names ON n = left(r, x) GROUP BY ALL),
+coded AS (SELECT *, TRY_CAST(CASE WHEN lower(r[2]) = 'x' THEN '0x' || rtrim(r[3:], ';') ELSE rtrim(r[2:], ';') END AS BIGINT) AS k FROM pieces WHERE r LIKE '#%'),
+numbered AS (SELECT page_id, w, i, CASE WHEN c IS NOT NULL THEN c WHEN coded.k IS NULL OR coded.k BETWEEN 55296 AND 57343 OR coded.k > 1114111 THEN chr(65533) ELSE chr(CAST(coded.k AS INTEGER)) END AS c FROM coded LEFT JOIN numbers ON numbers.k = coded.k),
+decoded AS (SELECT page_id, w, string_agg(CASE WHEN m.c IS NOT NULL THEN m.c || p[length(r) + 1:] WHEN a.c IS NOT NULL THEN a.c || p[a.x + 1:] WHEN i > 0 THEN '&' || p ELSE p END, '' ORDER BY i) AS t FROM pieces LEFT JOIN named a USING (page_id, w, i) LEFT JOIN numbered m USING (page_id, w, i) GROUP BY 1, 2),
+stripped AS (SELECT page_id, w, nullif(regexp_replace(t, '^{scalars.SPACE}+|{scalars.SPACE}+$', '', 'g'), '') AS t FROM decoded)
+SELECT page_id, a.t AS title, b.t AS heading, language FROM found JOIN (FROM stripped WHERE w = 'title') a USING (page_id) JOIN (FROM stripped WHERE w = 'heading') b USING (page_id)""")
 def page_metadata(spark, d):
     nodes = _nodes(spark, d)
     lang = nodes.where("tag = 'html'").select("item_id", F.col("attrs")["lang"].alias("language"))

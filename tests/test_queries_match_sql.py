@@ -37,3 +37,15 @@ def test_query(spark, database, name):
 
 def test_every_query_has_sql_or_a_test_of_its_own():
     assert set(QUERIES) - set(ORACLES) == {"extract_simple", "project_regions", "support_article_split"}
+
+
+def test_character_references_of_titles(spark, tmp_path):
+    """Cut, numbered and long references in titles and headings, as HTML reads them."""
+    texts = ["a &amp; b &amp", "cut &am", "&quot;q&quot", "&#39;x&#x27;y&#x27", "&#x2", "&#x80; &#128 &#0; &#xD800; &#99999999999999999999;", "&amp;lt; &ltfoo; &notit; &notin; &;", "&eacute;t&eacute &NewLine;", " &nbsp;", "&#; &#x; & &", "x&ampamp;"]
+    pages = [(i, f"https://host/en/{i}", f'<html lang="en"><head><title>{t}</title></head><body><h1>{t}</h1></body></html>') for i, t in enumerate(texts)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    wanted = rows(connection.execute(ORACLES["page_metadata"]).fetchall())
+    assert rows(QUERIES["page_metadata"](spark, str(tmp_path)).collect()) == wanted
+    assert ("0", "a & b &", "a & b &", "en") in wanted
