@@ -248,6 +248,6 @@ def listed_runs(spark, d):
     items = F.array(F.struct(F.when(s % 3 == 0, "pending").otherwise("passed").alias("status")))
     manifest = F.to_json(F.struct(run.alias("run_name"), F.lit("incremental").alias("batch_kind"), F.struct(keys.alias("product_keys")).alias("scope"), items.alias("items")))
     place = F.concat(run, F.when(s % 7 == 0, listing.BUILDING).otherwise(""), F.when((s % 11 == 0) & (s % 13 != 0), "-x").otherwise(""))
-    rows.select(F.when(s % 13 == 0, "{no manifest").otherwise(manifest).alias("value"), place.alias("run")).repartition("run").write.partitionBy("run").text(root)
-    found = listing.runs_in(spark, root, "part-*")
+    listing.write_manifests(rows.select(place.alias("directory"), F.when(s % 13 == 0, "{no manifest").otherwise(manifest).alias("content")), root)
+    found = listing.runs_in(spark, root)
     return found.select("run", "directory", "sealed", F.size("product_keys").cast("bigint").alias("products"), "pending", "error").withColumn("products", F.when(F.col("run").isNotNull(), F.col("products")))

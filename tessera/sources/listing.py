@@ -4,7 +4,10 @@ A manifest that can't be read or contradicts its place is a row with an error, n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 BUILDING = ".building"
@@ -17,20 +20,52 @@ def _first(*cases: tuple[Column, str]) -> Column:
     return F.coalesce(*(F.when(case, F.lit(text)) for case, text in cases))
 
 
-def _files(spark: SparkSession, pattern: str) -> DataFrame:
-    """(path, content) of the files that a glob finds; none if it finds none."""
+def _files(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(path, content) of the files of a name, which may be a glob, that stand in the folders of ``root``; none if there is no such folder.
+
+    The root is listed once and its folders are listed by tasks: a glob would list one after the other on the driver."""
     fs = spark._jvm.org.apache.hadoop.fs
-    found = fs.Path(pattern).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs.Path(pattern))
-    if not found:
+    top, conf = fs.Path(root), spark._jsc.hadoopConfiguration()
+    system = top.getFileSystem(conf)
+    if not system.globStatus(top):
         return spark.createDataFrame([], "path string, content string")
-    return spark.read.format("binaryFile").load(pattern).select("path", F.decode("content", "UTF-8").alias("content"))
+    read = spark.read.format("binaryFile")
+    found = read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
+    depth = len(system.makeQualified(top).toString().split("/")) + 2
+    found = found.where(F.size(F.split("path", "/")) == depth)
+    # Spark passes over folders whose names begin like those of its own
+    hidden = f"{root}/[_.]*/{name}"
+    if system.globStatus(fs.Path(hidden)):
+        own = spark.read.format("binaryFile").load(hidden)
+        found = found.join(own.select("path"), "path", "left_anti").unionByName(own)
+    return found.select("path", F.decode("content", "UTF-8").alias("content"))
 
 
 def _manifests(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """(path, directory, m) of the manifest of each folder below ``root``; of a folder ``key=x`` the directory is x."""
     parts = F.split("path", "/")
     directory = F.regexp_replace(F.element_at(parts, -2), "^[A-Za-z_]+=", "")
-    return _files(spark, f"{root}/*/{name}").select("path", directory.alias("directory"), F.from_json("content", schema, {"columnNameOfCorruptRecord": "_broken"}).alias("m"))
+    return _files(spark, root, name).select("path", directory.alias("directory"), F.from_json("content", schema, {"columnNameOfCorruptRecord": "_broken"}).alias("m"))
+
+
+def write_manifests(rows: DataFrame, root: str, name: str = "run.json") -> None:
+    """Write the file of each row (directory, content) below ``root``.
+
+    Tasks write them side by side, each in its place at once, so that a folder costs no commit on the driver; a task that
+    is repeated writes the same files again."""
+    spark = rows.sparkSession
+    spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "directory")
+    system, top = FileSystem.from_uri(root)
+    system.create_dir(top)
+
+    def write(part: Iterator[Row]) -> None:
+        system, top = FileSystem.from_uri(root)
+        for row in part:
+            system.create_dir(f"{top}/{row.directory}")
+            with system.open_output_stream(f"{top}/{row.directory}/{name}") as out:
+                out.write(row.content.encode())
+
+    spread.foreachPartition(write)
 
 
 def runs_in(spark: SparkSession, root: str, name: str = "run.json") -> DataFrame:
@@ -86,7 +121,7 @@ def _paths(spark: SparkSession, root: str) -> DataFrame:
 
 def closures_in(spark: SparkSession, root: str) -> DataFrame:
     """(run, product_key, error) of decisions to end a product without delivery, one file ``run/product.json`` each."""
-    found = _files(spark, f"{root}/*/*.json").select("path", F.from_json("content", _CLOSURE, {"columnNameOfCorruptRecord": "_broken"}).alias("m"))
+    found = _files(spark, root, "*.json").select("path", F.from_json("content", _CLOSURE, {"columnNameOfCorruptRecord": "_broken"}).alias("m"))
     parts = F.split("path", "/")
     run, stem = F.element_at(parts, -2), F.regexp_replace(F.element_at(parts, -1), r"\.json$", "")
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""

@@ -85,6 +85,17 @@ def test_runs_releases_and_closures_are_read_from_folders(spark, tmp_path):
     assert {(r["run"], r["delivered"], r["closed"], r["unresolved"]) for r in left.collect()} == {("r1", 1, 1, 1), ("r2", 0, 0, 1)}
 
 
+def test_manifests_are_written_in_their_place(spark, tmp_path):
+    """A file for each row and nothing else; hidden folders count, deeper files don't."""
+    rows = [(f"r{i}", f'{{"run_name": "r{i}", "batch_kind": "incremental", "scope": {{"product_keys": ["p"]}}}}') for i in range(50)] + [("_own", "{broken")]
+    listing.write_manifests(spark.createDataFrame(rows, "directory string, content string"), str(tmp_path / "runs"))
+    assert sorted(p.name for p in (tmp_path / "runs").rglob("*") if p.is_file()) == ["run.json"] * 51
+    (tmp_path / "runs" / "r1" / "deep").mkdir()
+    (tmp_path / "runs" / "r1" / "deep" / "run.json").write_text("{}")
+    found = {r["directory"]: r["error"] for r in listing.runs_in(spark, str(tmp_path / "runs")).collect()}
+    assert found == {f"r{i}": None for i in range(50)} | {"_own": "unreadable manifest"}
+
+
 def test_decisions(spark):
     schema = "product_key string, reviewer string, decision string, languages array<string>, materials array<string>, notes string"
     whole, every = LANGUAGES, list(review.MATERIALS)
