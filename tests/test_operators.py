@@ -251,3 +251,24 @@ def test_fragments_put_together_are_the_page(spark):
         assert without("u2") == head + 'a<div id="u1">bd<img id="v"/>e</div>f<p id="u3"></p>g' + tail
         assert without("v", "u3") == head + 'a<div id="u1">b<table id="u2"><tr><td>c</td></tr></table>de</div>fg' + tail
         assert without("u1") == head + 'af<p id="u3"></p>g' + tail
+
+
+def test_shredder_holds_few_pages_at_once(monkeypatch):
+    """Incoming batches are taken in slices, and record batches of nodes stay small however many pages come at once."""
+    import pyarrow as pa
+
+    from tessera.sources import html
+
+    class Pages:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(html.F, "col", lambda name: type("C", (), {"cast": lambda self, kind: self, "alias": lambda self, name: self})())
+    page = "<html><body>" + "<p>x</p>" * 100 + "</body></html>"
+    given = pa.RecordBatch.from_pydict({"item_id": list(range(500)), "html": [page] * 500})
+    sizes = [part.num_rows for part in html.shred(Pages())(iter([given]))]
+    assert sum(sizes) == 500 * 202
+    assert max(sizes) <= html._ROWS + 202 <= 10_000
