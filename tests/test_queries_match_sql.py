@@ -49,3 +49,14 @@ def test_character_references_of_titles(spark, tmp_path):
     wanted = rows(connection.execute(ORACLES["page_metadata"]).fetchall())
     assert rows(QUERIES["page_metadata"](spark, str(tmp_path)).collect()) == wanted
     assert ("0", "a & b &", "a & b &", "en") in wanted
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables here")
+def test_complex_pages_are_read_a_second_time_once(spark, monkeypatch):
+    """The fields of the second reading serve the statuses too."""
+    from tessera.plans import independent
+
+    names, real = [], independent.staged
+    monkeypatch.setattr(independent, "staged", lambda df, name: names.append(name) or real(df, name))
+    QUERIES["second_complex_bodies"](spark, FOLDER)
+    assert names.count("second-stream") == 1
