@@ -52,7 +52,7 @@ def write_manifests(rows: DataFrame, root: str, name: str = "run.json") -> None:
     """Write the file of each row (directory, content) below ``root``.
 
     Tasks write them side by side, each in its place at once, so that a folder costs no commit on the driver; a task that
-    is repeated writes the same files again."""
+    is repeated writes the same files again.  The folder must be one that Arrow opens by its address (local, HDFS, S3, GCS, Azure)."""
     spark = rows.sparkSession
     spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "directory")
     system, top = FileSystem.from_uri(root)
