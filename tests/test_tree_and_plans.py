@@ -132,6 +132,22 @@ def test_tree_difference_catches_mutations(spark):
     assert status == {0: "passed", 1: "failed", 2: "failed", 3: "failed", 4: "failed", 5: "failed", 9: "blocked"}
 
 
+def test_texts_meet_in_one_join(spark):
+    """The rows of the path tables, from texts compared in place: a plan that shuffles every path has four exchanges."""
+    a = {"g": [{"n": "x"}, {"n": "y"}], "t": "s", "k": 1, "e": {}}
+    cases = [a, a | {"k": 1.0}, a | {"k": True}, a | {"g": {"n": [1]}}, a | {"g": []}, a | {"e": {"z": [None]}}, dict(reversed(a.items())), a | {"t": None}]
+    texts = lambda values: spark.createDataFrame([(i, v) for i, v in values], "id long, json string")
+    old = texts([(i, json.dumps(a)) for i in range(len(cases))] + [(20, "{"), (21, "{"), (22, None), (23, "1")])
+    new = texts([(i, json.dumps(c)) for i, c in enumerate(cases)] + [(20, "["), (21, "{"), (22, "1"), (24, "[2]")])
+    wanted = verify.tree_difference(verify.json_paths(old, "id", "json"), verify.json_paths(new, "id", "json"), "id")
+    found = verify.text_difference(old, new, "id", "json")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 2 and plan.count("MapInArrow") == 1 and "MapInPandas" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    status = {r["id"]: r["status"] for r in verify.repeat_check(old, new, "id", "json").collect()}
+    assert status[0] == "passed" and status[21] == status[22] == "blocked" and {status[i] for i in (*range(1, 8), 23, 24)} == {"failed"}
+
+
 def test_checks_import_nothing_of_the_extraction():
     import ast
     import inspect
