@@ -148,6 +148,18 @@ def test_texts_meet_in_one_join(spark):
     assert status[0] == "passed" and status[21] == status[22] == "blocked" and {status[i] for i in (*range(1, 8), 23, 24)} == {"failed"}
 
 
+def test_payload_text_is_made_once(spark):
+    """No part's text stands twice in the expression, however deep it is nested; empty structs and arrays, nulls and escapes keep their text."""
+    from tessera.functions import canonical
+
+    value = "named_struct('a', array(named_struct('b', array(named_struct('c', array(named_struct('q\"', s)), 'd', null_text)))), 'e', named_struct('f', null_text), 'g', array())"
+    rows = spark.createDataFrame([('x"\\\n\x01é',), ("plain",)], "s string").selectExpr("s", "if(s is null, '', cast(null as string)) as null_text").selectExpr("s", f"{value.replace('array())', 'cast(array() as array<string>))')} as v")
+    made = rows.select("s", canonical.payload_text(F.col("v"), rows.schema["v"].dataType).alias("t"))
+    for r in made.collect():
+        assert r["t"] == json.dumps({"a": [{"b": [{"c": [{'q"': r["s"]}]}]}], "e": {}, "g": []}, ensure_ascii=False, indent=2) + "\n"
+    assert made._jdf.queryExecution().logical().toString().count("[\\x00-\\x1f]") == 1
+
+
 def test_checks_import_nothing_of_the_extraction():
     import ast
     import inspect
